@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,12 +27,27 @@ def strip(c: Column | str) -> Column:
     return F.btrim(as_col(c), F.lit(SPACES))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times inside ``body``.
+
+    Spark inlines an expression wherever it is used, and shares it only where every use is
+    certain to be evaluated; a lambda variable is computed once in all cases.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+NUMBER = (
+    rf"(?U)^{SPACE}*+([-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?){SPACE}*+$"
+)
+
+
 def to_double(c: Column | str) -> Column:
     """Text or number to double; anything that is not a plain decimal number is null.
 
-    The pattern keeps out Java-only spellings such as ``1d`` that a bare cast accepts.
+    The pattern keeps out Java-only spellings such as ``1d`` that a bare cast accepts, and spares
+    the cast the slow path it takes on bad text.
     """
-    s = strip(as_col(c).cast("string"))
-    return F.when(
-        s.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"), s.try_cast("double")
+    return let(
+        F.regexp_extract(as_col(c).cast("string"), NUMBER, 1),
+        lambda n: F.when(n != "", n.try_cast("double")),
     )

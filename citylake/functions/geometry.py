@@ -10,17 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citylake.functions.base import as_col
+from citylake.functions.base import as_col, let
 
 KM_PER_DEGREE = 111  # fixed value: degrees to kilometres
 TOLERANCE = 1e-9
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def ring_of(points: list[tuple[Column, Column]]) -> Column:
     return F.array(
         *[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in points]
@@ -28,15 +23,21 @@ def ring_of(points: list[tuple[Column, Column]]) -> Column:
 
 
 def segments(ring: Column | str) -> Column:
+    """Edges with their direction and squared length, which every measure needs."""
     ring = as_col(ring)
     n = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(ring, F.lit(1), n),
-        F.slice(ring, F.lit(2), n),
-        lambda a, b: F.struct(
-            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-        ),
-    )
+
+    def edge(a: Column, b: Column) -> Column:
+        return let(
+            F.struct((b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy")),
+            lambda d: F.struct(
+                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"),
+                d["dx"].alias("dx"), d["dy"].alias("dy"),
+                (d["dx"] * d["dx"] + d["dy"] * d["dy"]).alias("l2"),
+            ),
+        )
+
+    return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), edge)
 
 
 def box(ring: Column | str) -> Column:
@@ -53,33 +54,49 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def point_segment(x: Column, y: Column, s: Column) -> Column:
-    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-    along = F.try_divide((x - s["x1"]) * dx + (y - s["y1"]) * dy, dx * dx + dy * dy)
-    return let(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0)))),
-        lambda t: distance(x, y, s["x1"] + t * dx, s["y1"] + t * dy),
-    )
+def _gap2(x: Column, y: Column, s: Column) -> Column:
+    """Squared distance from a point to a segment."""
+    along = F.try_divide((x - s["x1"]) * s["dx"] + (y - s["y1"]) * s["dy"], s["l2"])
+
+    def at(t: Column) -> Column:
+        gx, gy = x - s["x1"] - t * s["dx"], y - s["y1"] - t * s["dy"]
+        return gx * gx + gy * gy
+
+    # greatest and least skip the null of a segment without length.
+    return let(F.greatest(F.lit(0.0), F.least(F.lit(1.0), along)), at)
 
 
 def _side(s: Column, x: Column, y: Column) -> Column:
-    """Signed distance of a point from the line through a segment."""
-    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-    return F.coalesce(
-        F.try_divide(dx * (y - s["y1"]) - dy * (x - s["x1"]), F.sqrt(dx * dx + dy * dy)), F.lit(0.0)
-    )
+    """Signed distance of a point from the line through a segment, times its length."""
+    return s["dx"] * (y - s["y1"]) - s["dy"] * (x - s["x1"])
 
 
 def _cross(s: Column, t: Column, eps: float) -> Column:
     """Segments cross at a point inside both."""
 
     def apart(u: Column, v: Column) -> Column:
-        a, b = _side(u, v["x1"], v["y1"]), _side(u, v["x2"], v["y2"])
-        return ((a > eps) & (b < -eps)) | ((a < -eps) & (b > eps))
+        sides = F.struct(
+            _side(u, v["x1"], v["y1"]).alias("a"), _side(u, v["x2"], v["y2"]).alias("b")
+        )
+        margin = F.sqrt(u["l2"]) * eps if eps else F.lit(0.0)
+        return let(
+            sides,
+            lambda k: (F.least(k["a"], k["b"]) < -margin) & (F.greatest(k["a"], k["b"]) > margin),
+        )
 
     return apart(s, t) & apart(t, s)
 
 
+def _boxes_meet(s: Column, t: Column) -> Column:
+    """Cheap test that spares most segment pairs the full one."""
+    return (
+        (F.least(s["x1"], s["x2"]) <= F.greatest(t["x1"], t["x2"]))
+        & (F.least(t["x1"], t["x2"]) <= F.greatest(s["x1"], s["x2"]))
+        & (F.least(s["y1"], s["y2"]) <= F.greatest(t["y1"], t["y2"]))
+        & (F.least(t["y1"], t["y2"]) <= F.greatest(s["y1"], s["y2"]))
+    )
+
+
 def _least(items: Column, measure: Callable[[Column], Column]) -> Column:
     return F.aggregate(
         items, F.lit(float("inf")).cast("double"), lambda acc, s: F.least(acc, measure(s))
@@ -89,7 +106,9 @@ def _least(items: Column, measure: Callable[[Column], Column]) -> Column:
 def point_boundary(x: Column | str, y: Column | str, ring: Column | str) -> Column:
     """Distance from a point to a ring's boundary; not zero inside."""
     start = F.struct(as_col(x).alias("x"), as_col(y).alias("y"))
-    return let(start, lambda p: _least(segments(ring), lambda s: point_segment(p["x"], p["y"], s)))
+    return F.sqrt(
+        let(start, lambda p: _least(segments(ring), lambda s: _gap2(p["x"], p["y"], s)))
+    )
 
 
 def boundary_distance(a: Column | str, b: Column | str) -> Column:
@@ -97,13 +116,11 @@ def boundary_distance(a: Column | str, b: Column | str) -> Column:
     both = F.struct(segments(a).alias("a"), segments(b).alias("b"))
 
     def pair(s: Column, t: Column) -> Column:
-        return F.when(_cross(s, t, 0.0), F.lit(0.0)).otherwise(
-            F.least(
-                point_segment(s["x1"], s["y1"], t), point_segment(t["x1"], t["y1"], s)
-            )
+        return F.when(_boxes_meet(s, t) & _cross(s, t, 0.0), F.lit(0.0)).otherwise(
+            F.least(_gap2(s["x1"], s["y1"], t), _gap2(t["x1"], t["y1"], s))
         )
 
-    return let(both, lambda v: _least(v["a"], lambda s: _least(v["b"], lambda t: pair(s, t))))
+    return F.sqrt(let(both, lambda v: _least(v["a"], lambda s: _least(v["b"], lambda t: pair(s, t)))))
 
 
 def km_points(x1: Column | str, y1: Column | str, x2: Column | str, y2: Column | str) -> Column:
@@ -171,26 +188,21 @@ def _inside(x: Column, y: Column, edges: Column) -> Column:
 
 
 def _strictly_inside(p: Column, edges: Column, near: Column, eps: float) -> Column:
-    on_edge = F.exists(near, lambda s: point_segment(p["x"], p["y"], s) <= eps)
+    on_edge = F.exists(near, lambda s: _gap2(p["x"], p["y"], s) <= eps * eps)
     return ~on_edge & _inside(p["x"], p["y"], edges)
 
 
 def _piece_midpoints(s: Column, others: Column, eps: float) -> Column:
     """Midpoints of a segment's pieces, cut where a vertex of ``others`` lies on it."""
-    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-    touching = F.filter(others, lambda t: point_segment(t["x1"], t["y1"], s) <= eps)
+    dx, dy = s["dx"], s["dy"]
+    touching = F.filter(others, lambda t: _gap2(t["x1"], t["y1"], s) <= eps * eps)
     cuts = F.transform(
         touching,
         lambda t: F.least(
             F.lit(1.0),
             F.greatest(
                 F.lit(0.0),
-                F.coalesce(
-                    F.try_divide(
-                        (t["x1"] - s["x1"]) * dx + (t["y1"] - s["y1"]) * dy, dx * dx + dy * dy
-                    ),
-                    F.lit(0.0),
-                ),
+                F.try_divide((t["x1"] - s["x1"]) * dx + (t["y1"] - s["y1"]) * dy, s["l2"]),
             ),
         ),
     )
@@ -255,6 +267,10 @@ def touches(a: Column | str, b: Column | str, eps: float = TOLERANCE) -> Column:
         near = F.struct(
             v["a"].alias("a"), v["b"].alias("b"),
             _near(v["a"], v["bb"], eps).alias("na"), _near(v["b"], v["ab"], eps).alias("nb"),
+            (
+                (v["ab"]["x1"] <= v["bb"]["x0"]) | (v["bb"]["x1"] <= v["ab"]["x0"])
+                | (v["ab"]["y1"] <= v["bb"]["y0"]) | (v["bb"]["y1"] <= v["ab"]["y0"])
+            ).alias("apart"),
         )
         return let(near, decide)
 
@@ -263,11 +279,11 @@ def touches(a: Column | str, b: Column | str, eps: float = TOLERANCE) -> Column:
             v["na"],
             lambda s: F.exists(
                 v["nb"],
-                lambda t: (point_segment(s["x1"], s["y1"], t) <= eps)
-                | (point_segment(t["x1"], t["y1"], s) <= eps),
+                lambda t: (_gap2(s["x1"], s["y1"], t) <= eps * eps)
+                | (_gap2(t["x1"], t["y1"], s) <= eps * eps),
             ),
         )
-        crossing = F.exists(v["na"], lambda s: F.exists(v["nb"], lambda t: _cross(s, t, eps)))
+        crossing = F.exists(v["na"], lambda s: F.exists(v["nb"], lambda t: _boxes_meet(s, t) & _cross(s, t, eps)))
 
         def enters(edges: str, other: str, near_other: str) -> Column:
             return F.exists(
@@ -279,7 +295,9 @@ def touches(a: Column | str, b: Column | str, eps: float = TOLERANCE) -> Column:
             )
 
         same = let(_inner_point(a), lambda p: _strictly_inside(p, v["b"], v["nb"], eps))
-        return meet & ~crossing & ~enters("na", "b", "nb") & ~enters("nb", "a", "na") & ~same
+        overlap = crossing | enters("na", "b", "nb") | enters("nb", "a", "na") | same
+        # Boxes that share no area leave no room for an overlap.
+        return meet & (v["apart"] | ~overlap)
 
     start = F.struct(
         segments(a).alias("a"), segments(b).alias("b"), box(a).alias("ab"), box(b).alias("bb")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citylake.functions.base import as_col, to_double
+from citylake.functions.base import as_col, let, to_double
 
 SCALE = 1e7  # fixed value: factor of the scaled coordinates
 
@@ -54,13 +54,10 @@ def point_wkt(lon: Column | str, lat: Column | str) -> Column:
 
 def l2_normalise(c: Column | str, scale: float = 1.0) -> Column:
     """Divide by ``scale``, then by the L2 norm when it is positive."""
-    v = F.transform(as_col(c), lambda x: x.cast("double") / F.lit(float(scale)))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    # A one-element array binds the norm once, instead of once per vector element.
-    return F.get(
-        F.transform(
-            F.array(norm),
+    return let(
+        F.transform(as_col(c), lambda x: x.cast("double") / F.lit(float(scale))),
+        lambda v: let(
+            F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)),
             lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x).cast("float")),
         ),
-        F.lit(0),
     )

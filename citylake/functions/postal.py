@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citylake.functions.base import as_col, strip, to_double
+from citylake.functions.base import as_col, let, strip, to_double
 
 # Accepted postal code ranges and prefix classes.
 PARIS_RANGE = (75001, 75020)
@@ -23,11 +23,10 @@ def postcode_in(
     expected: str | None = None,
 ) -> Column:
     """Whole part of a numeric postcode if in range and, when given, the town matches."""
-    code = to_double(c).try_cast("int")
-    ok = code.between(low, high)
-    if town is not None:
-        ok = ok & (F.lower(strip(town)) == expected)
-    return F.when(ok, code)
+    fits = F.lit(True) if town is None else F.lower(strip(town)) == expected
+    return let(
+        to_double(c).try_cast("int"), lambda code: F.when(code.between(low, high) & fits, code)
+    )
 
 
 def paris_postcode(c: Column | str, town: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from citylake.functions.base import NON_SPACE, SPACE, as_col, strip
+from citylake.functions.base import NON_SPACE, SPACE, as_col, let, strip
 
 # Lower-case letters that open a sentence, per language.
 ITALIAN_SPANISH_LETTERS = "abcdefghijklmnopqrstuvwxyzáéíóúñ"
@@ -19,6 +19,16 @@ FRENCH_LETTERS = "abcdefghijklmnopqrstuvwxyzàâçéèêëîïôûùüÿñæœ"
 WEEKDAYS = ["L", "M", "X", "J", "V", "S", "D"]
 RESERVED_TLDS = ["arpa", "invalid", "local", "localhost", "onion", "test"]
 
+# English month names and their days outside leap years.
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September",
+    "October", "November", "December",
+]
+MONTH_DAYS = [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+
+# Matches only from the start of a run, so a long run is scanned once.
+SPACE_BEFORE_MARK = rf"(?U)(?<!{SPACE}){SPACE}++([.,;:!?])"
+
 # Noncharacter that stands for one piece of markup while text nodes are joined.
 MARK = "\uffff"
 
@@ -73,20 +83,22 @@ def sentence_case(c: Column | str, letters: str) -> Column:
 
 
 def upper_first(c: Column | str) -> Column:
-    c = as_col(c)
-    return F.concat(F.upper(c.substr(1, 1)), F.substring(c, F.lit(2), F.length(c)))
+    return let(
+        as_col(c),
+        lambda s: F.concat(F.upper(s.substr(1, 1)), F.substring(s, F.lit(2), F.length(s))),
+    )
 
 
 def fix_text(c: Column | str) -> Column:
     """Spacing around punctuation, sentence case, single spaces."""
-    s = F.regexp_replace(as_col(c), rf"(?U){SPACE}++([.,!?;:])", "$1")
+    s = F.regexp_replace(as_col(c), SPACE_BEFORE_MARK, "$1")
     s = F.regexp_replace(s, rf"(?U)([.,!?;:])({NON_SPACE})", "$1 $2")
     s = F.regexp_replace(s, rf"(?U){SPACE}+", " ")
     return strip(sentence_case(s, ITALIAN_SPANISH_LETTERS))
 
 
 def _romance_spacing(s: Column) -> Column:
-    s = F.regexp_replace(s, rf"(?U){SPACE}++([.,;:!?])", "$1")
+    s = F.regexp_replace(s, SPACE_BEFORE_MARK, "$1")
     s = F.regexp_replace(s, rf"(?U)([.,;:!?])(?={NON_SPACE})", "$1 ")
     return F.regexp_replace(s, rf"(?U){SPACE}{{2,}}", " ")
 
@@ -103,41 +115,61 @@ def fix_spanish(c: Column | str) -> Column:
     return _open_mark(_open_mark(s, "?", "¿"), "!", "¡")
 
 
-def _open_mark(s: Column, close: str, opening: str) -> Column:
-    return F.when(
-        F.endswith(s, F.lit(close)) & ~F.startswith(s, F.lit(opening)), F.concat(F.lit(opening), s)
-    ).otherwise(s)
+def _open_mark(text: Column, close: str, opening: str) -> Column:
+    return let(
+        text,
+        lambda s: F.when(
+            F.endswith(s, F.lit(close)) & ~F.startswith(s, F.lit(opening)),
+            F.concat(F.lit(opening), s),
+        ).otherwise(s),
+    )
 
 
 def end_phrase(c: Column | str) -> Column:
     """End the text with a full stop unless it already ends in ``.!?``."""
-    s = strip(c)
-    last = F.right(s, F.lit(1))
-    return (
-        F.when(last.isin(".", "!", "?"), s)
-        .when(last.rlike(r"^[^\p{L}\p{N}]$"), F.regexp_replace(s, r"[^\p{L}\p{N}]++\z", "."))
-        .when(last.rlike("^[A-Za-z0-9]$"), F.concat(s, F.lit(".")))
-        .otherwise(s)
-    )
+
+    def close(s: Column) -> Column:
+        last = F.right(s, F.lit(1))
+        return (
+            F.when(last.isin(".", "!", "?"), s)
+            .when(last.rlike(r"^[^\p{L}\p{N}]$"), F.regexp_replace(s, r"[^\p{L}\p{N}]++\z", "."))
+            .when(last.rlike("^[A-Za-z0-9]$"), F.concat(s, F.lit(".")))
+            .otherwise(s)
+        )
+
+    return let(strip(c), close)
 
 
 def _spell(match: Column) -> Column:
+    """``d/m/y`` in words if it is a real date, else as it was.
+
+    Plain arithmetic: a date parser signals every bad date by an exception.
+    """
     part = F.split(match, "[/-]")
-    year = F.get(part, F.lit(2)).try_cast("int")
-    year = F.when(year < 100, year + 2000).otherwise(year)
-    iso = F.concat_ws(
-        "-", F.lpad(year.cast("string"), 4, "0"), F.get(part, F.lit(1)), F.get(part, F.lit(0))
-    )
-    return F.coalesce(F.date_format(F.try_to_date(iso, "yyyy-M-d"), "d MMMM y"), match)
+    numbers = F.transform(part, lambda p: p.try_cast("int"))
+
+    def spelled(n: Column) -> Column:
+        day, month, year = (F.get(n, F.lit(i)) for i in range(3))
+        year = F.when(year < 100, year + 2000).otherwise(year)
+        leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+        days = F.get(F.array(*[F.lit(d) for d in MONTH_DAYS]), month - 1)
+        days = days + F.when((month == 2) & leap, 1).otherwise(0)
+        name = F.get(F.array(*[F.lit(m) for m in MONTHS]), month - 1)
+        return F.when(day.between(1, days), F.concat_ws(" ", day, name, year)).otherwise(match)
+
+    return let(numbers, spelled)
 
 
 def spell_dates(c: Column | str) -> Column:
     """Rewrite each valid ``d/m/y`` or ``d-m-y`` in place as ``1 February 2025``."""
-    c = as_col(c)
-    between = F.split(c, DATE, -1)
-    spelled = F.transform(F.regexp_extract_all(c, F.lit(DATE), F.lit(0)), _spell)
-    glued = F.zip_with(between, spelled, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(c.rlike("[0-9][/-][0-9]"), F.array_join(glued, "")).otherwise(c)
+
+    def rewrite(s: Column) -> Column:
+        between = F.split(s, DATE, -1)
+        spelled = F.transform(F.regexp_extract_all(s, F.lit(DATE), F.lit(0)), _spell)
+        glued = F.zip_with(between, spelled, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(s.rlike("[0-9][/-][0-9]"), F.array_join(glued, "")).otherwise(s)
+
+    return let(as_col(c), rewrite)
 
 
 def extract_mails(c: Column | str) -> Column:
@@ -149,8 +181,7 @@ def extract_mails(c: Column | str) -> Column:
 
 
 def slash_to_null(c: Column | str) -> Column:
-    c = as_col(c)
-    return F.when(strip(c) == "/", F.lit(None)).otherwise(c)
+    return let(as_col(c), lambda s: F.when(strip(s) != "/", s))
 
 
 def html_text(c: Column | str) -> Column:

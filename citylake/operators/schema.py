@@ -63,10 +63,37 @@ def flatten(df: DataFrame, depth: int = 1, in_order: bool = False) -> DataFrame:
     return df.select([c for f in fields for c in leaves(f, (f.name,), depth)])
 
 
+def _is_direct(source: T.DataType, target: T.DataType) -> bool:
+    """Types for which a re-read returns the value itself."""
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return source.elementType == target.elementType and _is_direct(
+            source.elementType, target.elementType
+        )
+    same = isinstance(target, tuple({type(t) for t in TOKENS.values()})) and source == target
+    return same or (isinstance(source, T.LongType) and isinstance(target, T.IntegerType))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Re-read every row under ``schema``: missing or mistyped fields are null, others dropped."""
-    document = F.to_json(F.struct(*[named(c) for c in df.columns]))
-    return df.select(F.from_json(document, schema).alias("_row")).select("_row.*")
+    """Re-read every row under ``schema``: missing or mistyped fields are null, others dropped.
+
+    Only fields whose type differs go through a JSON document; the rest are taken as they are.
+    """
+    sources = {f.name: f.dataType for f in df.schema}
+    reread = [
+        f for f in schema if f.name in sources and not _is_direct(sources[f.name], f.dataType)
+    ]
+    if reread:
+        document = F.to_json(F.struct(*[named(f.name) for f in reread]))
+        df = df.withColumn("_row", F.from_json(document, T.StructType(reread)))
+
+    def value(f: T.StructField) -> Column:
+        if f.name not in sources:
+            return F.lit(None).cast(f.dataType)
+        if f in reread:
+            return F.col(name_of("_row", f.name))
+        return named(f.name).try_cast(f.dataType)
+
+    return df.select([value(f).alias(f.name) for f in schema])
 
 
 def tag(df: DataFrame, name: str, value: object) -> DataFrame:

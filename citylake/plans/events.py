@@ -99,21 +99,21 @@ def _finish(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 def rome_trusted(df: DataFrame, null_keys: str = "collapse") -> DataFrame:
     # Coordinates first: the text rules would put a space into a decimal number.
     df = _on(df, ["Latitudine", "Longitudine"], numeric.to_numeric)
-    names = set(_strings(df))
-    fns: dict[str, Callable[[Column], Column]] = {}
-    for name in names:
-        if name == "Descrizione":
-            fns[name] = lambda c: text.slash_to_null(text.spell_dates(text.end_phrase(c)))
-        elif name == "Denominazione":
-            fns[name] = text.slash_to_null
-        else:
-            fns[name] = lambda c: text.slash_to_null(text.norm(text.fix_text(c), collapse=True))
-    df = S.apply_by_name(df, fns)
-    order = [c for c in ("id_", "_id") if c in df.columns] or None
-    for key in ("Denominazione", "id_"):
+
+    def tidy(c: Column) -> Column:
+        return text.slash_to_null(text.norm(text.fix_text(c), collapse=True))
+
+    rules = {c: tidy for c in _strings(df)}
+    rules["Denominazione"] = text.slash_to_null
+    rules["Descrizione"] = lambda c: text.slash_to_null(text.spell_dates(text.end_phrase(c)))
+    # Keys are cleaned and duplicates dropped before the other texts are touched.
+    keys = ["Denominazione", "id_"]
+    df = S.apply_by_name(df, {k: rules.pop(k) for k in keys if k in rules})
+    order = [c for c in ("id_", "_id") if c in df.columns]
+    for key in keys:
         if key in df.columns:
-            df = dedupe(df, [key], [c for c in order or [] if c != key] or None, null_keys)
-    return df.drop("_id")
+            df = dedupe(df, [key], [c for c in order if c != key] or None, null_keys)
+    return S.apply_by_name(df.drop("_id"), rules)
 
 
 def rome_events(trusted: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
@@ -127,14 +127,15 @@ def rome_events(trusted: DataFrame, dictionary: DataFrame | None = None) -> Data
 
 
 def paris_trusted(df: DataFrame, null_keys: str = "collapse", id_pattern: str = "(id|code)") -> DataFrame:
+    # Keys are cast and duplicates dropped before the texts are cleaned.
+    df = S.apply_to(df, numeric.to_long, id_pattern, exclude=PARIS_TEXT)
+    ids = S.pick_columns(df, "id", exclude=PARIS_TEXT)
+    if ids:
+        df = dedupe(df, ids, null_keys=null_keys)
     df = _on(df, PARIS_TEXT, lambda c: text.fix_french(text.html_text(c)))
     df = S.apply_to(df, temporal.parse_ts, "date")
     position = numeric.split_latlon(S.named(PARIS_POSITION))
     df = df.withColumns({"latitude": position["lat"], "longitude": position["lon"]})
-    df = S.apply_to(df, numeric.to_long, id_pattern)
-    ids = S.pick_columns(df, "id")
-    if ids:
-        df = dedupe(df, ids, null_keys=null_keys)
     return _on(df, _strings(df, ["Titre", "Description"]), text.norm)
 
 

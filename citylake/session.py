@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when a later operator then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Geometry and text cost far more time per byte than the 1 MB default assumes; small
+    # partitions keep all cores busy. Large inputs are not affected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
 }
 
