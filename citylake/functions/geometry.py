@@ -28,12 +28,15 @@ def segments(ring: Column | str) -> Column:
     n = F.greatest(F.size(ring) - 1, F.lit(0))
 
     def edge(a: Column, b: Column) -> Column:
+        ends = F.struct(
+            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"),
+            (b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy"),
+        )
         return let(
-            F.struct((b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy")),
-            lambda d: F.struct(
-                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"),
-                d["dx"].alias("dx"), d["dy"].alias("dy"),
-                (d["dx"] * d["dx"] + d["dy"] * d["dy"]).alias("l2"),
+            ends,
+            lambda e: F.struct(
+                e["x1"], e["y1"], e["x2"], e["y2"], e["dx"], e["dy"],
+                (e["dx"] * e["dx"] + e["dy"] * e["dy"]).alias("l2"),
             ),
         )
 
@@ -55,15 +58,25 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 def _gap2(x: Column, y: Column, s: Column) -> Column:
-    """Squared distance from a point to a segment."""
+    """Squared distance from a point to a segment.
+
+    Everything the inner lambda needs is handed over in its argument. Spark compares nested
+    lambdas without regard to which outer variables they use, so ``f(s, t) | f(t, s)`` would be
+    cut down to one side if the body named both.
+    """
     along = F.try_divide((x - s["x1"]) * s["dx"] + (y - s["y1"]) * s["dy"], s["l2"])
+    known = F.struct(
+        # greatest and least skip the null of a segment without length.
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), along)).alias("t"),
+        (x - s["x1"]).alias("x"), (y - s["y1"]).alias("y"),
+        s["dx"].alias("dx"), s["dy"].alias("dy"),
+    )
 
-    def at(t: Column) -> Column:
-        gx, gy = x - s["x1"] - t * s["dx"], y - s["y1"] - t * s["dy"]
+    def square(k: Column) -> Column:
+        gx, gy = k["x"] - k["t"] * k["dx"], k["y"] - k["t"] * k["dy"]
         return gx * gx + gy * gy
 
-    # greatest and least skip the null of a segment without length.
-    return let(F.greatest(F.lit(0.0), F.least(F.lit(1.0), along)), at)
+    return let(known, square)
 
 
 def _side(s: Column, x: Column, y: Column) -> Column:
@@ -76,12 +89,13 @@ def _cross(s: Column, t: Column, eps: float) -> Column:
 
     def apart(u: Column, v: Column) -> Column:
         sides = F.struct(
-            _side(u, v["x1"], v["y1"]).alias("a"), _side(u, v["x2"], v["y2"]).alias("b")
+            _side(u, v["x1"], v["y1"]).alias("a"), _side(u, v["x2"], v["y2"]).alias("b"),
+            (F.sqrt(u["l2"]) * eps).alias("margin"),
         )
-        margin = F.sqrt(u["l2"]) * eps if eps else F.lit(0.0)
         return let(
             sides,
-            lambda k: (F.least(k["a"], k["b"]) < -margin) & (F.greatest(k["a"], k["b"]) > margin),
+            lambda k: (F.least(k["a"], k["b"]) < -k["margin"])
+            & (F.greatest(k["a"], k["b"]) > k["margin"]),
         )
 
     return apart(s, t) & apart(t, s)
