@@ -182,13 +182,16 @@ def unnest_records(df: DataFrame, path: str, fields: Sequence[str] | None = None
 def unpivot_hourly(df: DataFrame, hourly: str = "hourly", time: str = "time") -> DataFrame:
     """Parallel arrays of one struct to rows, up to the shortest array.
 
+    An absent (null) array gives nulls and does not count as shortest.
     ``timestamp`` keeps the original time text; ``time`` becomes ``HH:mm``.
     """
     fields = [f.name for f in df.schema[hourly].dataType]
     arrays = [F.col(name_of(hourly, f)) for f in fields]
     sizes = [F.size(a) for a in arrays]
     shortest = F.least(*sizes) if len(sizes) > 1 else sizes[0]
-    zipped = F.arrays_zip(*[a.alias(f) for a, f in zip(arrays, fields)])
+    # arrays_zip is null when one array is; an empty one is padded instead.
+    empty = {f.name: F.array().cast(f.dataType) for f in df.schema[hourly].dataType}
+    zipped = F.arrays_zip(*[F.coalesce(a, empty[f]).alias(f) for a, f in zip(arrays, fields)])
     others = [c for c in df.columns if c != hourly]
     rows = df.select(
         *[named(c) for c in others],
