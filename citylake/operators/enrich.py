@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions.base import as_col, strip
 from citylake.operators.dedupe import dedupe
+from citylake.operators.joins import lookup
 from citylake.operators.schema import named
 
 
@@ -23,7 +24,7 @@ def translate(
 
     The dictionary is reduced to one row per source and pre-filtered, so the join never adds
     rows. No broadcast hint: Spark broadcasts it below its size threshold and otherwise
-    shuffles, where AQE splits a value that dominates the column.
+    shuffles, where a value that dominates the column is split.
     """
     if dictionary is None or not cols:
         return df
@@ -37,7 +38,7 @@ def translate(
     for name in cols:
         key = F.when(strip(named(name)) != "", named(name))
         df = (
-            df.join(entries, key == F.col("_source"), "left")
+            lookup(df, entries, {"_source": key}, "left")
             .withColumn(name, F.coalesce(F.col("_target"), named(name)))
             .drop("_source", "_target")
         )
@@ -67,7 +68,7 @@ def apply_addresses(
     one = dedupe(useful, ["_key"], [*order, "_address", "_postcode"])
     repaired = F.col("_key").isNotNull()
     return (
-        accommodation.join(one, F.col(key) == F.col("_key"), "left")
+        lookup(accommodation, one, {"_key": F.col(key)}, "left")
         .withColumns(
             {
                 address: F.when(repaired, F.col("_address")).otherwise(F.col(address)),

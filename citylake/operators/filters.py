@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions.base import as_col
 from citylake.functions.text import any_keyword
+from citylake.operators.joins import lookup
 
 POSITION_FLAG = "position available"
 
@@ -55,12 +56,11 @@ def present(df: DataFrame, name: str) -> DataFrame:
 def in_list_or(df: DataFrame, key: str, ids: DataFrame, id_col: str, predicate: Column) -> DataFrame:
     """Rows whose key is in ``ids`` or that meet ``predicate``, each once.
 
-    Rows that meet the predicate never enter the join; the rest is a left-semi join, so Spark
-    broadcasts the ids when they are small and otherwise shuffles both sides.
+    Rows that meet the predicate never enter the join; the rest is a left-semi join.
     """
     sure = F.coalesce(predicate, F.lit(False))
     keys = ids.select(F.col(id_col).alias("_id")).distinct()
-    rest = df.where(~sure).join(keys, F.col(key) == F.col("_id"), "left_semi")
+    rest = lookup(df.where(~sure), keys, {"_id": F.col(key)}, "left_semi").select(df.columns)
     return df.where(sure).unionByName(rest)
 
 

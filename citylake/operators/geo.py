@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions import geometry as G
 from citylake.operators.filters import is_known
+from citylake.operators.joins import lookup
 from citylake.operators.schema import named
 from citylake.session import materialise
 
@@ -105,12 +106,12 @@ def touching_pairs(
         *[(F.col(f"b.{c}") - tolerance).alias(c) for c in ("x0", "y0")],
         *[(F.col(f"b.{c}") + tolerance).alias(c) for c in ("x1", "y1")],
     )
-    first = shapes.select(F.col("shape").alias("shape_1"), F.col("ring").alias("ring_1"))
-    second = shapes.select(F.col("shape").alias("shape_2"), F.col("ring").alias("ring_2"))
+    first = shapes.select(F.col("shape").alias("_first"), F.col("ring").alias("ring_1"))
+    second = shapes.select(F.col("shape").alias("_second"), F.col("ring").alias("ring_2"))
     touching = (
         _candidates(boxed)
-        .join(first, "shape_1")
-        .join(second, "shape_2")
+        .transform(lambda pairs: lookup(pairs, first, {"_first": F.col("shape_1")}, "inner"))
+        .transform(lambda pairs: lookup(pairs, second, {"_second": F.col("shape_2")}, "inner"))
         .where(G.touches("ring_1", "ring_2", tolerance))
     )
     keep: list[Column] = []
@@ -201,9 +202,9 @@ def nearest_site(points: DataFrame, sites: DataFrame, reach: float) -> DataFrame
             sites.groupBy(index("ix", level).alias("cx"), index("iy", level).alias("cy"))
             .agg(F.min(F.struct("sx", "sy")).alias("sample"))
             .withColumns(
-                {"kx": F.shiftright("cx", GRID_STEP), "ky": F.shiftright("cy", GRID_STEP)}
+                {"_kx": F.shiftright("cx", GRID_STEP), "_ky": F.shiftright("cy", GRID_STEP)}
                 if level
-                else {"kx": F.col("cx"), "ky": F.col("cy")}
+                else {"_kx": F.col("cx"), "_ky": F.col("cy")}
             )
         )
         size = reach / 2 ** (GRID_STEP * level)
@@ -213,7 +214,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, reach: float) -> DataFrame
         ]
         per_point = Window.partitionBy("px", "py")
         frontier = (
-            frontier.join(cells, ["kx", "ky"])
+            lookup(frontier, cells, {"_kx": F.col("kx"), "_ky": F.col("ky")}, "inner")
             .withColumn("low", F.sqrt(gap[0] * gap[0] + gap[1] * gap[1]))
             .withColumn(
                 "seen",
@@ -265,7 +266,8 @@ def reverse_geocode(
     points = located.select("px", "py").distinct()
     found = nearest_site(points, sites, reach)
     kept = [named(c) for c in df.columns if c not in values]
-    filled = located.join(found, ["px", "py"], "left").select(
+    found = found.select(F.col("px").alias("_px"), F.col("py").alias("_py"), "place")
+    filled = lookup(located, found, {"_px": F.col("px"), "_py": F.col("py")}, "left").select(
         *kept, *[F.col("place")[source].alias(new) for new, source in values.items()]
     )
     empty = df.where(~F.coalesce(known, F.lit(False))).select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions.numeric import to_numeric
 from citylake.functions.postal import pad_zip
+from citylake.operators.joins import lookup
 
 FEED_COLUMNS = [
     "property_id", "property_latitude", "property_longitude", "property_name", "city_code_name",
@@ -42,7 +43,7 @@ def _times_matched(rows: DataFrame, nodes: DataFrame, key: str, node_key: str) -
     rows to the join; the repeats are made row by row afterwards.
     """
     return (
-        rows.join(_counted(nodes, node_key), F.col(key) == F.col("_node"), "inner")
+        lookup(rows, _counted(nodes, node_key), {"_node": F.col(key)}, "inner")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
         .drop("_node", "_times", "_copy")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citylake.functions.temporal import departure_day, weather_day
 from citylake.operators.dedupe import dedupe
+from citylake.operators.joins import lookup
 from citylake.operators.schema import named
 
 LEDGER_SCHEMA = "file_key string, inserted_at timestamp, batch bigint"
@@ -21,7 +22,7 @@ def ledger_key(data_type: Column, city: Column, file_name: Column) -> Column:
 
 def _without(df: DataFrame, key: str, done: DataFrame, done_key: str) -> DataFrame:
     seen = done.select(named(done_key).alias("_seen")).distinct()
-    return df.join(seen, named(key) == F.col("_seen"), "left_anti")
+    return lookup(df, seen, {"_seen": named(key)}, "left_anti").select([named(c) for c in df.columns])
 
 
 def pending(files: DataFrame, ledger: DataFrame, key: str = "file_key") -> DataFrame:

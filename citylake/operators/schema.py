@@ -187,7 +187,7 @@ def unpivot_hourly(df: DataFrame, hourly: str = "hourly", time: str = "time") ->
     """
     fields = [f.name for f in df.schema[hourly].dataType]
     arrays = [F.col(name_of(hourly, f)) for f in fields]
-    sizes = [F.size(a) for a in arrays]
+    sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
     shortest = F.least(*sizes) if len(sizes) > 1 else sizes[0]
     # arrays_zip is null when one array is; an empty one is padded instead.
     empty = {f.name: F.array().cast(f.dataType) for f in df.schema[hourly].dataType}
