@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from citylake.catalog import query
 from citylake.functions.text import decode_text as decode
+from citylake.operators.filters import query_events
 from citylake.operators.incremental import ledger_read
-from citylake.operators.schema import apply_to, try_cast
+from citylake.operators.schema import apply_to, try_cast, union_all
 from citylake.session import scratch, table
 from citylake.sources import files
 from citylake.streaming.sync import sync_exploitation, sync_trusted
@@ -63,6 +64,36 @@ def parquet_trusted(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def filtered_result(spark: SparkSession, folder: str) -> DataFrame:
+    """A second, empty result leaves the first in place."""
+    path = scratch(spark, "filtered")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for predicate in ("o_orderstatus = 'O'", "o_orderstatus = 'P'", "o_orderstatus = 'none'"):
+        found = query_events(orders, predicate).drop("o_orderstatus")
+        files.replace_if_nonempty(found, path=path)
+    return spark.read.parquet(path)
+
+
+@query(
+    """
+    SELECT c_custkey::VARCHAR AS id, c_name AS name, 'rome' AS city FROM customer
+    UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'paris' FROM supplier
+    """
+)
+def scan_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Two readable sources with different separators and one that is missing."""
+    root = scratch(spark, "sources")
+    for city, name, p, key, sep in (
+        ("rome", "customer", "c", "custkey", ";"), ("paris", "supplier", "s", "suppkey", "|"),
+    ):
+        rows = table(spark, folder, name)
+        rows = rows.select(rows[f"{p}_{key}"].alias("id"), rows[f"{p}_name"].alias("name"))
+        rows.write.options(header=True, sep=sep).csv(f"{root}/{city}")
+    frames = files.scan_sources(spark, {c: f"{root}/{c}" for c in ("rome", "paris", "madrid")})
+    return union_all(list(frames.values()))
+
+
 @query("SELECT DISTINCT 'weather' AS data_type, 'city=' || event_type AS city FROM events")
 def list_zone(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "trusted_zone")

@@ -60,16 +60,20 @@ def query_vectors(
     return rows.orderBy(named(key)).limit(limit).select([named(f) for f in names])
 
 
-def _block_topk(df: DataFrame, block: list, k: int, key: str, vector: str, out: T.StructType) -> DataFrame:
+def _block_topk(
+    df: DataFrame, block: DataFrame, k: int, key: str, vector: str, out: T.StructType
+) -> DataFrame:
     """Per data partition, the ``k`` nearest rows to each query of one bounded block."""
-    names = [r[0] for r in block]
-    shared = df.sparkSession.sparkContext.broadcast((names, [list(r[1]) for r in block]))
+    queried = block.toArrow()
+    flat = queried.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    names = queried.column(0).to_pylist()
+    queries = flat.astype("float64").reshape(len(names), -1)
+    shared = df.sparkSession.sparkContext.broadcast((names, queries))
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        labels, vectors = shared.value
-        queries = np.asarray(vectors, dtype="float64")
+        labels, queries = shared.value
         best = [([], []) for _ in labels]
         for batch in batches:
             ids = batch.iloc[:, 0].to_numpy()
@@ -83,7 +87,7 @@ def _block_topk(df: DataFrame, block: list, k: int, key: str, vector: str, out:
                     owners = np.concatenate([np.asarray(best[i][1], dtype=ids.dtype), part])
                     order = np.lexsort((owners, distances))[:k]
                     best[i] = (distances[order], owners[order])
-        columns = list(out.names)
+        columns = list(out.names)  # query, row, distance
         for label, (distances, owners) in zip(labels, best):
             if len(owners):
                 yield pd.DataFrame(
@@ -107,7 +111,8 @@ def l2_topk(
 
     Queries are measured first and split into blocks of at most about ``block_bytes``; every
     block is one map-only pass over ``df`` that emits ``k`` rows per query and partition. No
-    (row, query) pair is ever shuffled. Rows whose width differs from the queries' are left out.
+    (row, query) pair is ever shuffled. The widest query sets the dimension; rows and queries of
+    another width, which the table contract rules out, are left out.
     """
     shape = queries.agg(F.count(F.lit(1)), F.max(F.size(named(query_vector)))).first()
     count, width = shape[0], shape[1] or 0
@@ -123,12 +128,14 @@ def l2_topk(
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
     blocks = max(1, math.ceil(count * width * 8 / block_bytes))
     usable = df.where(F.size(named(vector)) == width)
+    queries = queries.where(F.size(named(query_vector)) == width)
     place = F.pmod(F.xxhash64(named(query_key)), F.lit(blocks))
     parts = []
     for b in range(blocks):
         rows = (queries if blocks == 1 else queries.where(place == b)).select(
             named(query_key), named(query_vector)
         )
-        parts.append(_block_topk(usable, rows.collect(), k, key, vector, out))
+        if blocks == 1 or not rows.isEmpty():
+            parts.append(_block_topk(usable, rows, k, key, vector, out))
     ranked = Window.partitionBy("query_id").orderBy("distance", "id")
     return union_all(parts).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)

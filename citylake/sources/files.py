@@ -130,11 +130,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def replace_if_nonempty(df: DataFrame, table: str) -> bool:
-    """Replace a result table; an empty result keeps the old one."""
+def replace_if_nonempty(df: DataFrame, table: str | None = None, path: str | None = None) -> bool:
+    """Replace a result table, by name or path; an empty result keeps the old one."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").saveAsTable(table)
+    writer = df.write.mode("overwrite")
+    if table is not None:
+        writer.saveAsTable(table)
+    else:
+        writer.parquet(path)
     return True
 
 
