@@ -1,17 +1,24 @@
 """Planar geometry over closed rings (``array<struct<x:double,y:double>>``).
 
-All functions are native higher-order expressions, so geometry stays in the JVM.
+Measures of one ring are native expressions. Measures of two rings run on Arrow batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from citylake.functions import ring_pairs
 from citylake.functions.base import as_col, let
 
+# Ship the batch code with the query, so executors need no installed package.
+cloudpickle.register_pickle_by_value(ring_pairs)
+
 KM_PER_DEGREE = 111  # fixed value: degrees to kilometres
 TOLERANCE = 1e-9
 
@@ -60,9 +67,8 @@ def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 def _gap2(x: Column, y: Column, s: Column) -> Column:
     """Squared distance from a point to a segment.
 
-    Everything the inner lambda needs is handed over in its argument. Spark compares nested
-    lambdas without regard to which outer variables they use, so ``f(s, t) | f(t, s)`` would be
-    cut down to one side if the body named both.
+    Everything the inner lambda needs is handed over in its argument: Spark compares nested
+    lambdas without regard to which outer variables they use, and may take two for the same.
     """
     along = F.try_divide((x - s["x1"]) * s["dx"] + (y - s["y1"]) * s["dy"], s["l2"])
     known = F.struct(
@@ -79,38 +85,6 @@ def _gap2(x: Column, y: Column, s: Column) -> Column:
     return let(known, square)
 
 
-def _side(s: Column, x: Column, y: Column) -> Column:
-    """Signed distance of a point from the line through a segment, times its length."""
-    return s["dx"] * (y - s["y1"]) - s["dy"] * (x - s["x1"])
-
-
-def _cross(s: Column, t: Column, eps: float) -> Column:
-    """Segments cross at a point inside both."""
-
-    def apart(u: Column, v: Column) -> Column:
-        sides = F.struct(
-            _side(u, v["x1"], v["y1"]).alias("a"), _side(u, v["x2"], v["y2"]).alias("b"),
-            (F.sqrt(u["l2"]) * eps).alias("margin"),
-        )
-        return let(
-            sides,
-            lambda k: (F.least(k["a"], k["b"]) < -k["margin"])
-            & (F.greatest(k["a"], k["b"]) > k["margin"]),
-        )
-
-    return apart(s, t) & apart(t, s)
-
-
-def _boxes_meet(s: Column, t: Column) -> Column:
-    """Cheap test that spares most segment pairs the full one."""
-    return (
-        (F.least(s["x1"], s["x2"]) <= F.greatest(t["x1"], t["x2"]))
-        & (F.least(t["x1"], t["x2"]) <= F.greatest(s["x1"], s["x2"]))
-        & (F.least(s["y1"], s["y2"]) <= F.greatest(t["y1"], t["y2"]))
-        & (F.least(t["y1"], t["y2"]) <= F.greatest(s["y1"], s["y2"]))
-    )
-
-
 def _least(items: Column, measure: Callable[[Column], Column]) -> Column:
     return F.aggregate(
         items, F.lit(float("inf")).cast("double"), lambda acc, s: F.least(acc, measure(s))
@@ -125,16 +99,31 @@ def point_boundary(x: Column | str, y: Column | str, ring: Column | str) -> Colu
     )
 
 
-def boundary_distance(a: Column | str, b: Column | str) -> Column:
-    """Least distance between two rings' boundaries; zero where they meet."""
-    both = F.struct(segments(a).alias("a"), segments(b).alias("b"))
+def _coordinates(ring: Column | str) -> list[Column]:
+    """Ring as two plain arrays, which Arrow hands to numpy without a copy per point."""
+    ring = as_col(ring)
+    return [F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])]
 
-    def pair(s: Column, t: Column) -> Column:
-        return F.when(_boxes_meet(s, t) & _cross(s, t, 0.0), F.lit(0.0)).otherwise(
-            F.least(_gap2(s["x1"], s["y1"], t), _gap2(t["x1"], t["y1"], s))
-        )
 
-    return F.sqrt(let(both, lambda v: _least(v["a"], lambda s: _least(v["b"], lambda t: pair(s, t)))))
+def _on_pairs(a: Column | str, b: Column | str, dtype: T.DataType, measure: Callable) -> Column:
+    """Apply a batch measure to the rows that have both rings."""
+
+    def batch(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
+        known = ax.notna() & bx.notna()
+        out = pd.Series([None] * len(ax), dtype=object)
+        if known.any():
+            out[known.to_numpy()] = measure(*[list(v[known]) for v in (ax, ay, bx, by)])
+        return out
+
+    return F.pandas_udf(batch, dtype)(*_coordinates(a), *_coordinates(b))
+
+
+def boundary_distance(a: Column | str, b: Column | str) -> Column:
+    """Least distance between two rings' boundaries; zero where they meet.
+
+    Every edge is measured against every other, far too much for an interpreted lambda.
+    """
+    return _on_pairs(a, b, T.DoubleType(), ring_pairs.boundary_distances)
 
 
 def km_points(x1: Column | str, y1: Column | str, x2: Column | str, y2: Column | str) -> Column:
@@ -188,132 +177,10 @@ def centroid(ring: Column | str) -> Column:
     )
 
 
-def _inside(x: Column, y: Column, edges: Column) -> Column:
-    """Even-odd rule; meaningful for points off the boundary."""
-    return F.aggregate(
-        edges,
-        F.lit(False),
-        lambda acc, s: acc
-        != F.when(
-            (s["y1"] > y) != (s["y2"] > y),
-            x < (s["x2"] - s["x1"]) * F.try_divide(y - s["y1"], s["y2"] - s["y1"]) + s["x1"],
-        ).otherwise(F.lit(False)),
-    )
-
-
-def _strictly_inside(p: Column, edges: Column, near: Column, eps: float) -> Column:
-    on_edge = F.exists(near, lambda s: _gap2(p["x"], p["y"], s) <= eps * eps)
-    return ~on_edge & _inside(p["x"], p["y"], edges)
-
-
-def _piece_midpoints(s: Column, others: Column, eps: float) -> Column:
-    """Midpoints of a segment's pieces, cut where a vertex of ``others`` lies on it."""
-    dx, dy = s["dx"], s["dy"]
-    touching = F.filter(others, lambda t: _gap2(t["x1"], t["y1"], s) <= eps * eps)
-    cuts = F.transform(
-        touching,
-        lambda t: F.least(
-            F.lit(1.0),
-            F.greatest(
-                F.lit(0.0),
-                F.try_divide((t["x1"] - s["x1"]) * dx + (t["y1"] - s["y1"]) * dy, s["l2"]),
-            ),
-        ),
-    )
-    ordered = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts)))
-    return let(
-        ordered,
-        lambda o: F.zip_with(
-            F.slice(o, F.lit(1), F.size(o) - 1),
-            F.slice(o, F.lit(2), F.size(o) - 1),
-            lambda a, b: F.struct(
-                (s["x1"] + (a + b) / 2 * dx).alias("x"), (s["y1"] + (a + b) / 2 * dy).alias("y")
-            ),
-        ),
-    )
-
-
-def _inner_point(ring: Column) -> Column:
-    """A point inside the ring: middle of its first span on a line between two vertex heights."""
-    heights = F.array_sort(F.array_distinct(F.transform(ring, lambda p: p["y"])))
-    level = (F.get(heights, F.lit(0)) + F.get(heights, F.lit(1))) / 2
-
-    def span(y: Column) -> Column:
-        hits = F.filter(segments(ring), lambda s: (s["y1"] > y) != (s["y2"] > y))
-        xs = F.array_sort(
-            F.transform(
-                hits,
-                lambda s: s["x1"]
-                + (s["x2"] - s["x1"]) * F.try_divide(y - s["y1"], s["y2"] - s["y1"]),
-            )
-        )
-        return let(
-            xs,
-            lambda v: F.struct(
-                ((F.get(v, F.lit(0)) + F.get(v, F.lit(1))) / 2).alias("x"), y.alias("y")
-            ),
-        )
-
-    return let(level, span)
-
-
-def _near(edges: Column, b: Column, eps: float) -> Column:
-    """Edges whose box meets the box ``b``."""
-    return F.filter(
-        edges,
-        lambda s: (F.least(s["x1"], s["x2"]) <= b["x1"] + eps)
-        & (F.greatest(s["x1"], s["x2"]) >= b["x0"] - eps)
-        & (F.least(s["y1"], s["y2"]) <= b["y1"] + eps)
-        & (F.greatest(s["y1"], s["y2"]) >= b["y0"] - eps),
-    )
-
-
 def touches(a: Column | str, b: Column | str, eps: float = TOLERANCE) -> Column:
-    """Boundaries of two simple rings meet and their interiors do not.
+    """Boundaries of two simple rings meet and their interiors do not."""
 
-    Without a proper crossing, every piece of an edge cut at the other ring's vertices lies
-    wholly inside, outside or on the other ring, so one midpoint per piece decides. Rings with
-    the same outline have no piece inside each other; an inner point tells them apart.
-    """
-    a, b = as_col(a), as_col(b)
-
-    def with_edges(v: Column) -> Column:
-        near = F.struct(
-            v["a"].alias("a"), v["b"].alias("b"),
-            _near(v["a"], v["bb"], eps).alias("na"), _near(v["b"], v["ab"], eps).alias("nb"),
-            (
-                (v["ab"]["x1"] <= v["bb"]["x0"]) | (v["bb"]["x1"] <= v["ab"]["x0"])
-                | (v["ab"]["y1"] <= v["bb"]["y0"]) | (v["bb"]["y1"] <= v["ab"]["y0"])
-            ).alias("apart"),
-        )
-        return let(near, decide)
-
-    def decide(v: Column) -> Column:
-        meet = F.exists(
-            v["na"],
-            lambda s: F.exists(
-                v["nb"],
-                lambda t: (_gap2(s["x1"], s["y1"], t) <= eps * eps)
-                | (_gap2(t["x1"], t["y1"], s) <= eps * eps),
-            ),
-        )
-        crossing = F.exists(v["na"], lambda s: F.exists(v["nb"], lambda t: _boxes_meet(s, t) & _cross(s, t, eps)))
-
-        def enters(edges: str, other: str, near_other: str) -> Column:
-            return F.exists(
-                v[edges],
-                lambda s: F.exists(
-                    _piece_midpoints(s, v[near_other], eps),
-                    lambda m: _strictly_inside(m, v[other], v[near_other], eps),
-                ),
-            )
-
-        same = let(_inner_point(a), lambda p: _strictly_inside(p, v["b"], v["nb"], eps))
-        overlap = crossing | enters("na", "b", "nb") | enters("nb", "a", "na") | same
-        # Boxes that share no area leave no room for an overlap.
-        return meet & (v["apart"] | ~overlap)
-
-    start = F.struct(
-        segments(a).alias("a"), segments(b).alias("b"), box(a).alias("ab"), box(b).alias("bb")
-    )
-    return F.coalesce(let(start, with_edges), F.lit(False))
+    def measure(*rings):
+        return ring_pairs.touching(*rings, eps)
+
+    return F.coalesce(_on_pairs(a, b, T.BooleanType(), measure), F.lit(False))

@@ -1,0 +1,163 @@
+"""Measures of polygon pairs on Arrow batches.
+
+Used inside pandas UDFs. One batch is handled as flat arrays of edge pairs, at most ``PAIRS`` at
+a time, so neither many pairs nor long rings need much memory.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+PAIRS = 1_000_000
+
+
+class Edges:
+    """Edges of all rings of a batch, end to end, with their row."""
+
+    def __init__(self, xs, ys):
+        self.count = np.array([max(len(x) - 1, 0) for x in xs], dtype=np.int64)
+        self.row = np.repeat(np.arange(len(xs)), self.count)
+        self.x, self.y, end_x, end_y = (
+            np.concatenate([v[cut] for v in vs]) if len(vs) else np.empty(0)
+            for vs, cut in ((xs, slice(0, -1)), (ys, slice(0, -1)), (xs, slice(1, None)), (ys, slice(1, None)))
+        )
+        self.dx, self.dy = end_x - self.x, end_y - self.y
+        self.l2 = self.dx**2 + self.dy**2
+
+    def near(self, boxes, eps):
+        """Only the edges whose box meets the row's box."""
+        x0, y0, x1, y1 = (b[self.row] for b in boxes)
+        keep = (
+            (np.minimum(self.x, self.x + self.dx) <= x1 + eps)
+            & (np.maximum(self.x, self.x + self.dx) >= x0 - eps)
+            & (np.minimum(self.y, self.y + self.dy) <= y1 + eps)
+            & (np.maximum(self.y, self.y + self.dy) >= y0 - eps)
+        )
+        part = object.__new__(Edges)
+        for name in ("row", "x", "y", "dx", "dy", "l2"):
+            setattr(part, name, getattr(self, name)[keep])
+        part.count = np.bincount(part.row, minlength=len(self.count))
+        return part
+
+
+def gap2(x, y, e, i):
+    """Squared distance of points from the edges ``i``."""
+    px, py = x - e.x[i], y - e.y[i]
+    t = np.clip((px * e.dx[i] + py * e.dy[i]) / np.where(e.l2[i] > 0, e.l2[i], 1), 0, 1)
+    return (px - t * e.dx[i]) ** 2 + (py - t * e.dy[i]) ** 2
+
+
+def edge_pairs(a, b):
+    """Index arrays of every (edge of a, edge of b) within a row, in pieces."""
+    first = np.cumsum(b.count) - b.count
+    partners = b.count[a.row]
+    upto = np.cumsum(partners)
+    start = 0
+    while start < len(partners):
+        done = upto[start - 1] if start else 0
+        stop = max(int(np.searchsorted(upto, done + PAIRS, side="right")), start + 1)
+        n = partners[start:stop]
+        ia = np.repeat(np.arange(start, stop), n)
+        ib = first[a.row[ia]] + np.arange(len(ia)) - np.repeat(np.cumsum(n) - n, n)
+        yield ia, ib
+        start = stop
+
+
+def crossing(a, ia, b, ib, eps):
+    """Edges cross at a point inside both."""
+
+    def apart(e, i, f, j):
+        one = e.dx[i] * (f.y[j] - e.y[i]) - e.dy[i] * (f.x[j] - e.x[i])
+        two = one + e.dx[i] * f.dy[j] - e.dy[i] * f.dx[j]
+        margin = np.sqrt(e.l2[i]) * eps
+        return (np.minimum(one, two) < -margin) & (np.maximum(one, two) > margin)
+
+    return apart(a, ia, b, ib) & apart(b, ib, a, ia)
+
+
+def boundary_distances(ax, ay, bx, by):
+    """Least distance between the two boundaries of every row."""
+    a, b = Edges(ax, ay), Edges(bx, by)
+    least = np.full(len(ax), np.inf)
+    for ia, ib in edge_pairs(a, b):
+        gap = np.minimum(gap2(a.x[ia], a.y[ia], b, ib), gap2(b.x[ib], b.y[ib], a, ia))
+        gap[crossing(a, ia, b, ib, 0.0)] = 0.0
+        np.minimum.at(least, a.row[ia], gap)
+    return np.sqrt(least)
+
+
+def boxes(xs, ys):
+    return [np.array([f(v) for v in vs]) for f, vs in ((np.min, xs), (np.min, ys), (np.max, xs), (np.max, ys))]
+
+
+def touching(ax, ay, bx, by, eps):
+    """Boundaries of two simple rings meet and their interiors do not, per row.
+
+    Boxes that share no area leave no room for an overlap, and a proper crossing settles it;
+    only the remaining pairs are looked at one by one.
+    """
+    box_a, box_b = boxes(ax, ay), boxes(bx, by)
+    a, b = Edges(ax, ay).near(box_b, eps), Edges(bx, by).near(box_a, eps)
+    meet, cross = np.zeros(len(ax), bool), np.zeros(len(ax), bool)
+    for ia, ib in edge_pairs(a, b):
+        gap = np.minimum(gap2(a.x[ia], a.y[ia], b, ib), gap2(b.x[ib], b.y[ib], a, ia))
+        meet[a.row[ia[gap <= eps * eps]]] = True
+        cross[a.row[ia[crossing(a, ia, b, ib, eps)]]] = True
+    apart = (
+        (box_a[2] <= box_b[0]) | (box_b[2] <= box_a[0]) | (box_a[3] <= box_b[1]) | (box_b[3] <= box_a[1])
+    )
+    result = meet & (apart | ~cross)
+    for i in np.flatnonzero(meet & ~apart & ~cross):
+        result[i] = not overlap((ax[i], ay[i]), (bx[i], by[i]), eps)
+    return result
+
+
+def strictly_inside(x, y, ring, eps):
+    e = Edges([ring[0]], [ring[1]])
+    off = np.array([gap2(px, py, e, slice(None)).min() > eps * eps for px, py in zip(x, y)])
+    end = e.y + e.dy
+    spans = (e.y > y[:, None]) != (end > y[:, None])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        left = x[:, None] < e.x + e.dx * (y[:, None] - e.y) / e.dy
+    return off & ((spans & left).sum(axis=1) % 2 == 1)
+
+
+def piece_midpoints(ring, other, eps):
+    """Midpoints of the ring's edges near the other, cut where its vertices lie on them.
+
+    Without a proper crossing each piece lies wholly inside, outside or on the other ring.
+    """
+    one = [np.asarray(v) for v in ring]
+    e = Edges([one[0]], [one[1]]).near(boxes([other[0]], [other[1]]), eps)
+    xs, ys = [], []
+    for i in range(len(e.x)):
+        on = gap2(other[0], other[1], e, i) <= eps * eps
+        along = ((other[0][on] - e.x[i]) * e.dx[i] + (other[1][on] - e.y[i]) * e.dy[i]) / (e.l2[i] or 1)
+        cuts = np.unique(np.clip(np.concatenate([[0.0, 1.0], along]), 0, 1))
+        middle = (cuts[:-1] + cuts[1:]) / 2
+        xs.append(e.x[i] + middle * e.dx[i])
+        ys.append(e.y[i] + middle * e.dy[i])
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.empty(0), np.empty(0))
+
+
+def inner_point(ring):
+    """Middle of the ring's first span on a line between its two lowest vertex heights."""
+    heights = np.unique(ring[1])
+    if len(heights) < 2:
+        return np.empty(0), np.empty(0)
+    y = (heights[0] + heights[1]) / 2
+    e = Edges([ring[0]], [ring[1]])
+    hit = (e.y > y) != (e.y + e.dy > y)
+    x = np.sort(e.x[hit] + e.dx[hit] * (y - e.y[hit]) / e.dy[hit])
+    return np.array([(x[0] + x[1]) / 2]), np.array([y])
+
+
+def overlap(a, b, eps):
+    """Interiors meet, given that no edges cross: a piece of one ring or, where both have the same
+    outline, an inner point lies inside the other."""
+    for points, ring in (
+        (piece_midpoints(a, b, eps), b), (piece_midpoints(b, a, eps), a), (inner_point(a), b),
+    ):
+        if len(points[0]) and strictly_inside(*points, ring, eps).any():
+            return True
+    return False

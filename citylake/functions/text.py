@@ -26,8 +26,9 @@ MONTHS = [
 ]
 MONTH_DAYS = [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
 
-# Matches only from the start of a run, so a long run is scanned once.
-SPACE_BEFORE_MARK = rf"(?U)(?<!{SPACE}){SPACE}++([.,;:!?])"
+# Matches only from the start of a run, so a long run is scanned once. The look-behind comes after
+# the first space, where it is tried far less often.
+SPACE_BEFORE_MARK = rf"(?U){SPACE}(?<!{SPACE}{{2}}){SPACE}*+([.,;:!?])"
 
 # Noncharacter that stands for one piece of markup while text nodes are joined.
 MARK = "\uffff"
