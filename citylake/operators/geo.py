@@ -100,7 +100,9 @@ def touching_pairs(
         named(ring).alias("ring"),
         F.sha2(F.to_json(named(ring)), 256).alias("shape"),
     ).where(F.size("ring") >= 4)
-    shapes = rows.groupBy("shape").agg(F.any_value("ring").alias("ring"))
+    # Both are read several times below: written once, then scanned by column.
+    rows = materialise(rows, "polygons")
+    shapes = materialise(rows.groupBy("shape").agg(F.any_value("ring").alias("ring")), "shapes")
     boxed = shapes.withColumn("b", G.box("ring")).select(
         "shape",
         *[(F.col(f"b.{c}") - tolerance).alias(c) for c in ("x0", "y0")],
