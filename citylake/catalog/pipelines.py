@@ -75,7 +75,8 @@ def paris_feed(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages").select("*", copies.alias("copy")).select(
         k.cast("string").alias("ID"),
         F.concat(F.lit("<b>"), F.col("url"), F.lit("</b>&amp;")).alias("Titre"),
-        F.col("html").alias("Description"),
+        F.when(k % 3 == 1, F.concat(F.lit("<h1>Festival</h1>"), F.col("html")))
+        .otherwise(F.col("html")).alias("Description"),
         F.concat(F.lit("  Rue  "), k, F.lit(" ,paris")).alias("Adresse du lieu"),
         F.lit("<i> Paris </i>").alias("Ville"),
         F.lit("75004").alias("Code postal"),
@@ -88,11 +89,12 @@ def paris_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+DESCRIPTION = "CASE WHEN page_id % 3 = 1 THEN '<h1>Festival</h1>' || html ELSE html END"
 PARIS_SQL = f"""
     WITH r AS (
       SELECT page_id AS id,
         {sql.fix_french(sql.html_text("'<b>' || url || '</b>&amp;'"), FR)} AS name,
-        {sql.fix_french(sql.html_text("html"), FR)} AS description,
+        {sql.fix_french(sql.html_text(DESCRIPTION), FR)} AS description,
         'rue ' || page_id || ', paris' AS address, 'not avl' AS email,
         CASE WHEN page_id % 3 <> 0 THEN lower(trim(url)) END AS website, 'paris' AS city,
         '2025-06-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || ' 09:00:00' AS start_date,
