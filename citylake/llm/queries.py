@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import packing, sequence_files
+from citylake.llm import minhash_dedup, packing, sequence_files
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -26,6 +26,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table(spark, folder, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op6_sequence_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh(spark, "sequences")
