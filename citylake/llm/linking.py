@@ -63,26 +63,33 @@ def connect(
     payload: Callable[[DataFrame], DataFrame],
     confirm: Callable[[DataFrame], DataFrame],
     rounds: int = ROUNDS,
+    near: str = "true",
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the nodes whose links are confirmed, and the links found.
 
-    ``members``: ``key``, ``node`` (bigint), each pair once. ``payload`` gives ``node``, ``payload`` for a
-    table of nodes. ``confirm`` keeps the linked rows of a table ``a``, ``b``, ``payload_a``, ``payload_b``.
+    ``members``: ``key``, ``node`` (bigint), each pair once, and perhaps ``sketch``. ``near`` is a condition
+    on the sketches ``s`` and ``t`` without which a pair is no candidate. ``payload`` gives ``node``,
+    ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table ``a``, ``b``,
+    ``payload_a``, ``payload_b``.
     """
+    if "sketch" not in members.columns:
+        members = members.withColumn("sketch", F.lit(0))
     active = written(shared_keys(members), "active")
     contents = written(payload(active.select("node").distinct()), "payload")
     active = active.withColumn("component", F.col("node"))
     links, tested = None, None
     for turn in range(rounds + 1):
         if turn < rounds:
-            choice = F.min_by(F.struct("node", "component"), F.xxhash64("node", "key", F.lit(turn)))
+            choice = F.min_by(F.struct("node", "component", "sketch"), F.xxhash64("node", "key", F.lit(turn)))
             leader = active.groupBy("key").agg(choice.alias("leader"))
             pairs = attach(active, leader, "key").where("component <> leader.component")
-            pairs = pairs.select(F.col("node").alias("x"), F.col("leader.node").alias("y"))
+            pairs = pairs.select(F.col("node").alias("x"), F.col("leader.node").alias("y"),
+                                 F.col("sketch").alias("s"), F.col("leader.sketch").alias("t")).where(near)
         else:
-            other = active.select("key", F.col("node").alias("y"), F.col("component").alias("other"))
-            pairs = active.join(other, "key").where("node < y AND component <> other")
-            pairs = pairs.select(F.col("node").alias("x"), "y")
+            other = active.select("key", F.col("node").alias("y"), F.col("component").alias("other"),
+                                  F.col("sketch").alias("t"))
+            pairs = active.withColumnRenamed("sketch", "s").join(other, "key")
+            pairs = pairs.where("node < y AND component <> other").where(near).select(F.col("node").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

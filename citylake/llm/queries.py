@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import minhash_dedup, packing, sequence_files
+from citylake.llm import line_dedup, minhash_dedup, packing, quality_rules, sequence_files
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -26,6 +26,15 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = quality_rules.annotate(docs, keep_with=fresh(spark, "quality"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(table(spark, folder, "documents"), size=2)
@@ -42,3 +51,8 @@ def op6_sequence_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_tokenizer(), end=0)
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, folder, "documents")).drop("row_key")
