@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylake.llm import line_dedup, minhash_dedup, packing, quality_rules, sequence_files
+from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_rules, sequence_files
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -41,6 +41,12 @@ def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contaminated(docs, items)
+
+
 @query
 def op6_sequence_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh(spark, "sequences")
