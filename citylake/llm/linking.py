@@ -2,21 +2,29 @@
 
 Nodes that share a key are candidates. In each round a key compares its nodes with one node of its own
 choice only, and confirmed links join nodes to components. Keys whose nodes lie in one component are
-done. After the rounds, every pair of nodes that still share a key and lie in different components is
-compared, so no candidate is left out: a pair is either compared or already connected.
+done. After the rounds, all nodes that still share a key and lie in different components are compared, so
+no candidate is left out: a pair is either compared or already connected. Large keys are then compared in
+blocks of bounded size that give back one link between a node and a component.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.llm.storage import written
 from citylake.operators.joins import lookup
 
-ROUNDS = 2
+ROUNDS = 1
+#: Keys with more nodes are compared in blocks of about so many nodes, or so much weight, each.
+PAIRWISE = 32
+BLOCK_NODES, BLOCK_WEIGHT = 1024, 1_000_000
+
+#: Of a table ``left``, ``node``, ``component``, ``payload``: links ``a``, ``b`` between left rows and others.
+BlockLinks = Callable[[pa.Table], pa.Table]
 
 
 def attach(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -62,33 +70,42 @@ def connect(
     members: DataFrame,
     payload: Callable[[DataFrame], DataFrame],
     confirm: Callable[[DataFrame], DataFrame],
-    rounds: int = ROUNDS,
     near: str = "true",
+    block_links: BlockLinks | None = None,
+    rounds: int = ROUNDS,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the nodes whose links are confirmed, and the links found.
 
-    ``members``: ``key``, ``node`` (bigint), each pair once, and perhaps ``sketch``. ``near`` is a condition
-    on the sketches ``s`` and ``t`` without which a pair is no candidate. ``payload`` gives ``node``,
-    ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table ``a``, ``b``,
-    ``payload_a``, ``payload_b``.
+    ``members``: ``key``, ``node`` (bigint), each pair once; perhaps ``sketch`` and ``weight``. ``near`` is a
+    condition on the sketches ``s`` and ``t`` without which a pair is no candidate. ``payload`` gives
+    ``node``, ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table ``a``, ``b``,
+    ``payload_a``, ``payload_b``. With ``block_links``, what remains of a large key is compared block by
+    block and not written out as pairs.
     """
-    if "sketch" not in members.columns:
-        members = members.withColumn("sketch", F.lit(0))
+    for name in ("sketch", "weight"):
+        if name not in members.columns:
+            members = members.withColumn(name, F.lit(0).cast("bigint"))
     active = written(shared_keys(members), "active")
     contents = written(payload(active.select("node").distinct()), "payload")
     active = active.withColumn("component", F.col("node"))
     links, tested = None, None
     for turn in range(rounds + 1):
-        if turn < rounds:
+        last = turn == rounds
+        if not last:
             choice = F.min_by(F.struct("node", "component", "sketch"), F.xxhash64("node", "key", F.lit(turn)))
             leader = active.groupBy("key").agg(choice.alias("leader"))
             pairs = attach(active, leader, "key").where("component <> leader.component")
             pairs = pairs.select(F.col("node").alias("x"), F.col("leader.node").alias("y"),
                                  F.col("sketch").alias("s"), F.col("leader.sketch").alias("t")).where(near)
         else:
-            other = active.select("key", F.col("node").alias("y"), F.col("component").alias("other"),
-                                  F.col("sketch").alias("t"))
-            pairs = active.withColumnRenamed("sketch", "s").join(other, "key")
+            few = active
+            if block_links:
+                sizes = active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("total"))
+                active = attach(active, sizes, "key")
+                few, many = active.where(F.col("n") <= PAIRWISE), active.where(F.col("n") > PAIRWISE)
+            other = few.select("key", F.col("node").alias("y"), F.col("component").alias("other"),
+                               F.col("sketch").alias("t"))
+            pairs = few.withColumnRenamed("sketch", "s").join(other, "key")
             pairs = pairs.where("node < y AND component <> other").where(near).select(F.col("node").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
@@ -97,10 +114,13 @@ def connect(
         tested = pairs if tested is None else tested.union(pairs)
         full = attach(pairs, contents.select(F.col("node").alias("a"), F.col("payload").alias("payload_a")), "a")
         full = attach(full, contents.select(F.col("node").alias("b"), F.col("payload").alias("payload_b")), "b")
-        found = written(confirm(full).select("a", "b"), "links")
+        found = confirm(full).select("a", "b")
+        if last and block_links:
+            found = found.union(_blockwise(many, contents, block_links))
+        found = written(found, "links")
         links = found if links is None else links.union(found)
         groups = written(components(links), "components")
-        if turn == rounds:
+        if last:
             break
         labelled = attach(active.drop("component"), groups, "node", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "node"))
@@ -109,3 +129,31 @@ def connect(
         if active.isEmpty():
             break
     return groups, links
+
+
+def _blockwise(many: DataFrame, contents: DataFrame, block_links: BlockLinks) -> DataFrame:
+    """Links between different components of a key, from pairs of bounded blocks of its nodes.
+
+    The blocks of all nodes outside a key's largest component meet every block of the key.
+    """
+    counts = many.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    largest = counts.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
+    side = attach(many, largest, "key").withColumn("out", F.col("component") != F.col("largest"))
+    parts = side.groupBy("key", "out").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("w"))
+    number = F.ceil(F.greatest(F.col("c") / BLOCK_NODES, F.col("w") / BLOCK_WEIGHT)).cast("int")
+    parts = parts.groupBy("key").agg(
+        F.max(F.when(F.col("out"), number)).alias("outer"), F.coalesce(F.max(F.when(~F.col("out"), number)), F.lit(0)).alias("inner")
+    )
+    side = attach(side, parts, "key")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.when(F.col("out"), F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    # Outer block i meets outer blocks j >= i and, numbered on from there, every inner block.
+    own = F.when(F.col("out"), own).otherwise(F.col("outer") + own)
+    every = F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)
+    mates = F.when(F.col("out"), every).otherwise(F.sequence(F.lit(0), F.col("outer") - 1))
+    rows = side.withColumn("own", own).withColumn("mate", F.explode(mates))
+    rows = rows.select(
+        "key", F.least("own", "mate").alias("i"), F.greatest("own", "mate").alias("j"),
+        (F.col("own") <= F.col("mate")).alias("left"), "node", "component",
+    )
+    rows = attach(rows, contents, "node")
+    return rows.groupBy("key", "i", "j").applyInArrow(block_links, "a bigint, b bigint")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.linking import attach, connect
+from citylake.llm.linking import BlockLinks, attach, connect
 from citylake.llm.storage import written
 from citylake.llm.wordhash import ASCII_SPACE, FOLDED, batches, mix, shingles, words
 
@@ -127,6 +127,46 @@ def similar(pairs: DataFrame, numerator: int, denominator: int) -> DataFrame:
     return pairs.select("a", "b", "payload_a", "payload_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def block_links(numerator: int, denominator: int) -> BlockLinks:
+    """One link between each left set and each component among the others, where there is one."""
+
+    def run(block: pa.Table) -> pa.Table:
+        left = np.array(block.column("left").to_pylist(), bool)
+        node, component = (block.column(c).to_numpy() for c in ("node", "component"))
+        sets = [np.frombuffer(x, np.uint64) for x in block.column("payload").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        # A block that meets itself comes as left rows only.
+        rows, columns = np.flatnonzero(left), np.flatnonzero(~left)
+        if not len(columns):
+            columns = rows
+        owner = np.repeat(np.arange(len(sets)), size)
+        _, element = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(element, kind="stable")
+        owner, element = owner[order], element[order]
+        place = np.zeros((2, len(sets)), np.int64)
+        place[0, rows], place[1, columns] = np.arange(len(rows)), np.arange(len(columns))
+        is_row, is_column = np.zeros(len(sets), bool), np.zeros(len(sets), bool)
+        is_row[rows], is_column[columns] = True, True
+        both = np.zeros((len(rows), len(columns)), np.float32)
+        last = int(element[-1]) + 1 if len(element) else 0
+        for at in range(0, last, _BLOCK):  # shared elements counted by products of 0/1 matrices
+            lo, hi = np.searchsorted(element, (at, at + _BLOCK))
+            own, e = owner[lo:hi], element[lo:hi] - at
+            x, y = np.zeros((len(rows), _BLOCK), np.float32), np.zeros((len(columns), _BLOCK), np.float32)
+            x[place[0, own[is_row[own]]], e[is_row[own]]] = 1
+            y[place[1, own[is_column[own]]], e[is_column[own]]] = 1
+            both += x @ y.T
+        both = both.astype(np.int64)
+        union = size[rows][:, None] + size[columns] - both
+        linked = (denominator * both >= numerator * union) & (component[rows][:, None] != component[columns])
+        i, j = np.nonzero(linked)
+        _, first = np.unique(np.stack((i, component[columns][j])), axis=1, return_index=True)
+        a, b = node[rows[i[first]]], node[columns[j[first]]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def near_duplicates(
     df: DataFrame, size: int = 5, numerator: int = 80, denominator: int = 100, *, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -135,17 +175,21 @@ def near_duplicates(
     sketches = written(sketch(docs, size), "sketches")
     some = sketches.where("n_shingles > 0")
     # Rows of one node have one set, so any row's keys are the node's.
-    nodes = some.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"))
+    nodes = some.groupBy("node").agg(
+        F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"), F.any_value("n_shingles").alias("weight")
+    )
     nodes = written(nodes, "nodes")
-    members = nodes.select("node", F.explode("keys").alias("key"))
+    members = nodes.select("node", "weight", F.explode("keys").alias("key"))
 
     def payload(wanted: DataFrame) -> DataFrame:
-        ids = attach(nodes.drop("keys"), wanted, "node").select(F.col("first_id").alias("doc_id"))
+        ids = attach(nodes.drop("keys", "weight"), wanted, "node").select(F.col("first_id").alias("doc_id"))
         named = full_sets(attach(docs, ids.distinct(), "doc_id"), size)
         unnamed = full_sets(docs.where("doc_id IS NULL"), size)
         return named.union(unnamed).dropDuplicates(["node"])
 
-    groups, _ = connect(members, payload, lambda p: similar(p, numerator, denominator))
+    groups, _ = connect(
+        members, payload, lambda p: similar(p, numerator, denominator), block_links=block_links(numerator, denominator)
+    )
     named = attach(nodes.select("node", "first_id"), groups, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
