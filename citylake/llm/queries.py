@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_rules, sequence_files
+from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_net, quality_rules
+from citylake.llm import sequence_files, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -41,6 +43,26 @@ def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _training_rows(spark: SparkSession, folder: str, label: str, parts: int, which: int) -> DataFrame:
+    """Labelled texts that are not held out."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col(label).cast("int").alias("label"))
+    labels = labels.where(~toxicity.held_out(F.col("doc_id"), parts, which) & F.col("label").isin(0, 1))
+    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id").drop("doc_id")
+
+
+def _judged(scores: DataFrame, parts: int, which: int, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", toxicity.held_out(F.col("doc_id"), parts, which).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    model = toxicity.fit(_training_rows(spark, folder, "toxic", 3, 1))
+    return _judged(toxicity.score(table(spark, folder, "documents"), model), 3, 1, toxicity.THRESHOLD)
+
+
 @query
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -54,6 +76,14 @@ def op6_sequence_files(spark: SparkSession, folder: str) -> DataFrame:
     return sequence_files.read_documents(spark, path)
 
 
+@query
+def op7_quality_net(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    vectors = quality_net.word_vectors(docs)
+    net = quality_net.fit(_training_rows(spark, folder, "quality", 4, 2), vectors)
+    return _judged(quality_net.score(docs, vectors, net), 4, 2, quality_net.THRESHOLD)
+
+
 @query
 def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_tokenizer(), end=0)
