@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, quality_net, quality_rules
-from citylake.llm import sequence_files, toxicity
+from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, paragraph_dedup, quality_net
+from citylake.llm import quality_rules, sequence_files, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -63,6 +63,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(toxicity.score(table(spark, folder, "documents"), model), 3, 1, toxicity.THRESHOLD)
 
 
+@query
+def op4_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_dedup.repeated_passages(table(spark, folder, "documents")).drop("row_key")
+
+
 @query
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")

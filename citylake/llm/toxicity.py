@@ -26,10 +26,10 @@ from citylake.llm.wordhash import ALNUM, batches, buffers, mix
 
 BUCKETS = 1 << 18
 SIZES = (4, 5, 6)
-FEATURES = 20_000
+FEATURES = 5_000
 SAMPLE = 12_000
 SMOOTHING = 1.0
-PENALTY = 2e-3
+PENALTY = 1e-3
 THRESHOLD = 0.7
 _SALT = mix(np.arange(1, 9, dtype=np.uint64))
 
