@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, paragraph_dedup, quality_net
-from citylake.llm import quality_rules, sequence_files, toxicity
+from citylake.llm import quality_rules, secret_crf, sequence_files, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -89,6 +89,11 @@ def op7_quality_net(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(quality_net.score(docs, vectors, net), 4, 2, quality_net.THRESHOLD)
 
 
+@query
+def op8_secret_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_crf.secrets(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_tokenizer(), end=0)
