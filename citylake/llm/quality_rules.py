@@ -168,12 +168,13 @@ def posterior(model: Model, pattern: Column) -> Column:
 
 
 def annotate(
-    df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, keep_with: str | None = None
+    df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, threshold: float = 0.5,
+    keep_with: str | None = None, keep_text: bool = False,
 ) -> DataFrame:
     """``df`` with the statistics, ``base_failed``, ``votes``, ``quality`` and ``kept``.
 
-    ``keep_with`` is a folder for the annotated rows without their texts; statistics are then computed
-    once, for the fit and for the result.
+    ``keep_with`` is a folder for the annotated rows, with their texts only if ``keep_text``; statistics
+    are then computed once, for the fit and for the result.
     """
     spark = df.sparkSession
     base = F.expr(
@@ -182,10 +183,15 @@ def annotate(
     stats = statistics(df, text).withColumn("base_failed", base).withColumn("votes", votes(rules))
     stats = stats.drop(*[c for c in stats.columns if c.startswith("_q_")])
     if keep_with:
-        slim = stats.drop(text)
+        slim = stats if keep_text else stats.drop(text)
         slim.write.parquet(keep_with)
         stats = spark.read.schema(slim.schema).parquet(keep_with)
     counts = stats.where("NOT base_failed").groupBy("votes").count().collect()  # at most 3**rules rows
     model = fit([(r["votes"], r["count"]) for r in counts], len(rules))
     judged = stats.withColumn("quality", posterior(model, F.col("votes")))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+
+
+def keep_good(df: DataFrame, folder: str, text: str = "text") -> DataFrame:
+    """The rows that are kept, with the columns of ``df``; ``folder`` takes the annotated rows."""
+    return annotate(df, text, keep_with=folder, keep_text=True).where("kept").select(*df.columns)
