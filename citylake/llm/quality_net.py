@@ -3,7 +3,7 @@
 Words are runs of letters and digits, and runs of marks, case kept, hashed to ``BUCKETS``. Each bucket
 has a sparse random index vector. A word's vector is the sum of the index vectors of its neighbours
 within ``REACH`` words, over all documents. A document is the mean and the spread of its words' unit
-vectors. A network of one hidden layer is trained in numpy on at most ``SAMPLE`` labelled rows, and a
+vectors. A network of one hidden layer is trained in numpy on at most ``SAMPLE`` labelled texts, and a
 temperature fitted on a fifth of them calibrates its probabilities.
 
 Null and empty texts have the zero vector and get its score. Equal texts get equal scores. Without labels
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citylake.llm.sampling import sample_texts
 from citylake.llm.wordhash import ALNUM, EXACT, batches, mix, words
 
 BUCKETS = 1 << 14
@@ -150,7 +151,7 @@ def train(x: np.ndarray, label: np.ndarray, epochs: int = 60, size: int = 256) -
 
 
 def fit(labelled: DataFrame, vectors: np.ndarray, limit: int = SAMPLE) -> Network:
-    """Train on at most ``limit`` rows ``text``, ``label`` (0 or 1), by hash of the text."""
+    """Train on at most ``limit`` different texts of rows ``text``, ``label`` (0 or 1)."""
     sent = labelled.sparkSession.sparkContext.broadcast(vectors)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,14 +159,13 @@ def fit(labelled: DataFrame, vectors: np.ndarray, limit: int = SAMPLE) -> Networ
             for lo, hi in batches(batch.column(0)):
                 x = pooled(batch.column(0).slice(lo, hi - lo), sent.value)
                 offsets = pa.array(np.arange(len(x) + 1) * FEATURES, pa.int32())
-                yield pa.record_batch(
-                    [batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))],
-                    names=["label", "x"],
-                )
-
-    order = F.xxhash64("text")
-    hashed = labelled.select("text", "label", order.alias("h")).orderBy("h", "label").limit(limit)
-    found = hashed.select("text", "label").mapInArrow(run, "label int, x array<double>").toPandas()
+                rest = [batch.column(c).slice(lo, hi - lo) for c in ("h", "label")]
+                features = pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))
+                yield pa.record_batch([*rest, features], names=["h", "label", "x"])
+
+    some = sample_texts(labelled.select("text", "label"), limit)
+    found = some.mapInArrow(run, "h bigint, label int, x array<double>").dropDuplicates(["h", "label"])
+    found = found.toPandas().sort_values(["h", "label"])
     x = np.array(found["x"].tolist(), float).reshape(len(found), FEATURES)
     return train(x, found["label"].to_numpy(float))
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citylake.llm.sampling import sample_texts
 from citylake.llm.wordhash import batches, mix
 
 #: Kinds in their order, with pattern and the least length of the last group (or of the match).
@@ -189,9 +190,10 @@ def training_windows(df: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]
                     )
 
     hint = F.col("text").rlike(f"{ASSIGN.pattern}|AKIA[A-Z0-9]{{14}}|[0-9a-f]{{16}}")
-    texts = df.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h")).withColumn("hint", hint)
-    some = [texts.where(F.col("hint") == has).orderBy("h").limit(limit) for has in (True, False)]
-    found = some[0].union(some[1]).select("text").mapInArrow(run, "f array<int>, t array<int>").toPandas()
+    texts = df.where("text IS NOT NULL").select("text").withColumn("hint", hint)
+    some = [sample_texts(texts.where(F.col("hint") == has), limit).dropDuplicates(["h"]) for has in (True, False)]
+    some = some[0].union(some[1]).orderBy("h").select("text")
+    found = some.mapInArrow(run, "f array<int>, t array<int>").toPandas()
     if not len(found):
         return np.zeros((0, wide, TEMPLATES), np.int64), np.zeros((0, wide), np.int64)
     return np.stack(found["f"]).reshape(-1, wide, TEMPLATES), np.stack(found["t"]).reshape(-1, wide)

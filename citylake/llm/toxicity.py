@@ -3,7 +3,7 @@
 An n-gram is 4 to 6 bytes of the lower-case text within a word, its borders included; marks count as
 borders. N-grams are hashed to ``BUCKETS`` features and count once per document. The log ratio of a
 feature's frequency in toxic and other documents comes from all labelled training rows. A logistic
-regression on the scaled features is fitted on at most ``SAMPLE`` training rows, over the ``FEATURES``
+regression on the scaled features is fitted on at most ``SAMPLE`` training texts, over the ``FEATURES``
 features whose classes differ most.
 
 Null and empty texts have no n-grams and get the score of the intercept. Equal texts get equal scores.
@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citylake.llm.sampling import sample_texts
 from citylake.llm.wordhash import ALNUM, batches, buffers, mix
 
 BUCKETS = 1 << 18
@@ -96,7 +97,7 @@ def class_counts(labelled: DataFrame) -> np.ndarray:
 
 
 def sampled_features(labelled: DataFrame, chosen: np.ndarray, limit: int):
-    """Labels and chosen features (row, bucket) of at most ``limit`` rows, by hash of the text."""
+    """Labels and chosen features (row, bucket) of at most ``limit`` texts, once per label."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -108,11 +109,12 @@ def sampled_features(labelled: DataFrame, chosen: np.ndarray, limit: int):
                 features = pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(key % BUCKETS, pa.int32())
                 )
-                yield pa.record_batch([batch.column("label").slice(lo, hi - lo), features], names=["label", "features"])
+                rest = [batch.column(c).slice(lo, hi - lo) for c in ("h", "label")]
+                yield pa.record_batch([*rest, features], names=["h", "label", "features"])
 
-    order = F.xxhash64("text")
-    some = labelled.select("text", "label").orderBy(order, "label").limit(limit)
-    found = some.mapInArrow(run, "label int, features array<int>").toPandas()
+    some = sample_texts(labelled.select("text", "label"), limit)
+    found = some.mapInArrow(run, "h bigint, label int, features array<int>").dropDuplicates(["h", "label"])
+    found = found.toPandas().sort_values(["h", "label"])
     sizes = [len(x) for x in found["features"]]
     row = np.repeat(np.arange(len(found)), sizes)
     bucket = np.concatenate([*found["features"], np.zeros(0, np.int64)]).astype(np.int64)
