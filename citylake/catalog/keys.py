@@ -75,8 +75,8 @@ def dedupe_keep_null_keys(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH p AS (SELECT DISTINCT l_returnflag AS city_code_name,
                  lpad((l_partkey % 40000)::VARCHAR, 5, '0') AS z FROM lineitem)
-    SELECT city_code_name, left(z, 2) AS area, string_agg(z, ',' ORDER BY z) AS codes
-    FROM p GROUP BY city_code_name, left(z, 2)
+    SELECT city_code_name, row_number() OVER (PARTITION BY city_code_name ORDER BY z) AS position,
+      z AS postcode FROM p
     """
 )
 def list_per_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,8 +84,7 @@ def list_per_group(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(
         F.col("l_returnflag").alias("city_code_name"), code.alias("property_postalcode")
     )
-    lists = D.postcodes_by_city(rows)
-    return lists.select("city_code_name", "area", F.array_join("postcodes", ",").alias("codes"))
+    return D.postcodes_by_city(rows).withColumnRenamed("property_postalcode", "postcode")
 
 
 @query(
@@ -139,9 +138,9 @@ def missing_in_next_zone(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    WITH old AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'view'
+    WITH old AS (SELECT user_id, event_id, value FROM events WHERE user_id % 3 > 0
                  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1),
-         new AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'purchase'
+         new AS (SELECT user_id, event_id, value FROM events
                  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)
     SELECT * FROM old UNION ALL SELECT * FROM new WHERE user_id NOT IN (SELECT user_id FROM old)
     """
@@ -149,9 +148,8 @@ def missing_in_next_zone(spark: SparkSession, folder: str) -> DataFrame:
 def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     columns = ["user_id", "event_id", "value"]
-    views = events.where("event_type = 'view'").select(columns)
-    old = D.dedupe(views, ["user_id"], ["event_id"])
-    new = events.where("event_type = 'purchase'").select(columns)
+    old = D.dedupe(events.where("user_id % 3 > 0").select(columns), ["user_id"], ["event_id"])
+    new = events.select(columns)
     return I.insert_if_absent(old, new, "user_id", ["event_id"])
 
 

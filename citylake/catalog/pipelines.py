@@ -17,7 +17,8 @@ from citylake.plans import events as E
 from citylake.plans import image_vectors as V
 from citylake.plans import postal_graph as P
 from citylake.plans import weather as W
-from citylake.session import table
+from citylake.session import scratch, table
+from citylake.sources import files
 
 FLAGS = sql.flags("lower(concat_ws(' ', name, description))", CATEGORY_KEYWORDS)
 
@@ -27,12 +28,18 @@ def _texts(df: DataFrame) -> DataFrame:
     return apply_to(df, lambda c: c.cast("string"), "_date$")
 
 
+def _priority_words(spark: SparkSession, folder: str, prefix: str, target: str, lower: bool = False) -> DataFrame:
+    found = table(spark, folder, "orders").where("o_orderpriority LIKE '1%'").select("o_orderpriority").distinct()
+    name = F.lower("o_orderpriority") if lower else F.col("o_orderpriority")
+    return found.select(F.concat(F.lit(prefix), name).alias("source"), F.lit(target).alias("target"))
+
+
 def rome_feed(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("doc_id")
     return table(spark, folder, "documents").select(
         k.alias("_id"),
         k.cast("string").alias("id_"),
-        F.when(k % 50 == 0, "/").otherwise(F.concat_ws(" ", "source", (k % 300).cast("string"))).alias(
+        F.when(k % 50 == 0, "/").otherwise(F.concat(F.lit("festa "), F.floor(k / 2).cast("string"))).alias(
             "Denominazione"
         ),
         F.concat(F.col("text"), F.lit(" -")).alias("Descrizione"),
@@ -50,10 +57,11 @@ def rome_feed(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     WITH raw AS (
-      SELECT doc_id AS k, CASE WHEN doc_id % 50 = 0 THEN NULL ELSE source || ' ' || doc_id % 300 END AS name,
+      SELECT doc_id AS k, CASE WHEN doc_id % 50 = 0 THEN NULL ELSE 'festa ' || doc_id // 2 END AS name,
         text, source FROM documents
       QUALIFY row_number() OVER (PARTITION BY name ORDER BY doc_id::VARCHAR, doc_id) = 1),
-    r AS (SELECT k::VARCHAR AS id, name, {sql.end_phrase("text || ' -'")} AS description,
+    r AS (SELECT k::VARCHAR AS id, CASE WHEN k // 2 % 3 = 0 THEN 'feast ' || k // 2 ELSE name END AS name,
+        {sql.end_phrase("text || ' -'")} AS description,
         'via roma, ' || CASE WHEN k >= 0 THEN k::VARCHAR END || '. lazio' AS address,
         'info@x. it' AS mail_fixed, source,
         CASE WHEN k % 2 = 1 THEN 'www' END AS website, 'rome' AS city,
@@ -64,7 +72,12 @@ def rome_feed(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def rome_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _texts(E.rome_events(E.rome_trusted(rome_feed(spark, folder))))
+    """Names of every third pair of documents are in the dictionary."""
+    k = F.floor(F.col("doc_id") / 2)
+    words = table(spark, folder, "documents").where(k % 3 == 0).select(
+        F.concat(F.lit("festa "), k).alias("source"), F.concat(F.lit("feast "), k).alias("target")
+    )
+    return _texts(E.rome_events(E.rome_trusted(rome_feed(spark, folder)), words))
 
 
 def paris_feed(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +108,8 @@ PARIS_SQL = f"""
       SELECT page_id AS id,
         {sql.fix_french(sql.html_text("'<b>' || url || '</b>&amp;'"), FR)} AS name,
         {sql.fix_french(sql.html_text(DESCRIPTION), FR)} AS description,
-        'rue ' || page_id || ', paris' AS address, 'not avl' AS email,
+        CASE WHEN page_id % 2 = 0 THEN 'street ' || page_id ELSE 'rue ' || page_id || ', paris' END AS address,
+        'not avl' AS email,
         CASE WHEN page_id % 3 <> 0 THEN lower(trim(url)) END AS website, 'paris' AS city,
         '2025-06-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || ' 09:00:00' AS start_date,
         NULL::VARCHAR AS end_date,
@@ -107,13 +121,25 @@ PARIS_SQL = f"""
 
 @query(PARIS_SQL)
 def paris_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _texts(E.paris_events(E.paris_trusted(paris_feed(spark, folder))))
+    """Addresses of even pages are in the dictionary."""
+    k = F.col("page_id")
+    words = table(spark, folder, "pages").where(k % 2 == 0).select(
+        F.concat(F.lit("rue "), k, F.lit(", paris")).alias("source"), F.concat(F.lit("street "), k).alias("target")
+    )
+    return _texts(E.paris_events(E.paris_trusted(paris_feed(spark, folder)), words))
 
 
 @query(f'SELECT * FROM ({PARIS_SQL}) WHERE "SOCIAL_LIFE" = 1')
 def event_query_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    """Paris pages to events, then the social ones: the flagship query."""
-    return E.filtered_events(paris_events(spark, folder), "SOCIAL_LIFE = 1")
+    """Paris pages to the stored exploitation table, its social rows to the result table: the flagship query."""
+    root = scratch(spark, "paris")
+    events = paris_events(spark, folder)
+    files.write_trusted(events, f"{root}/paris_expl")
+    stored = spark.read.schema(events.schema).parquet(f"{root}/paris_expl")
+    found = E.filtered_events(stored, "SOCIAL_LIFE = 1")
+    if not files.replace_if_nonempty(found, path=f"{root}/paris_filtered"):
+        return found
+    return spark.read.schema(found.schema).parquet(f"{root}/paris_filtered")
 
 
 def barcelona_feed(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,15 +168,17 @@ def barcelona_feed(spark: SparkSession, folder: str) -> DataFrame:
     WITH l AS (SELECT *, '¿Fira ' || o_orderkey || ', bar?' AS name FROM orders
                QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC,
                  o_orderkey % 86400 DESC, name DESC) = 1),
-    r AS (SELECT o_custkey AS id, name, 'museu ' || lower(o_orderpriority) AS description,
-        'carrer ' || o_orderkey AS address, 'not avl' AS email, 'not avl' AS website, 'barcelona' AS city,
+    r AS (SELECT o_custkey AS id, name, CASE WHEN o_orderpriority LIKE '1%' THEN 'museum one' ELSE 'museu ' || lower(o_orderpriority) END
+        AS description, 'carrer ' || o_orderkey AS address, 'not avl' AS email, 'not avl' AS website, 'barcelona' AS city,
         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS start_date, NULL::VARCHAR AS end_date,
         CASE WHEN o_orderkey % 3 <> 0 THEN 'POINT(2.1 41.4)' END AS "Point" FROM l)
     SELECT *, {FLAGS} FROM r
     """
 )
 def barcelona_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _texts(E.barcelona_events(E.barcelona_trusted(barcelona_feed(spark, folder))))
+    """The first order priority is in the dictionary."""
+    words = _priority_words(spark, folder, "museu ", "museum one", lower=True)
+    return _texts(E.barcelona_events(E.barcelona_trusted(barcelona_feed(spark, folder)), words))
 
 
 def madrid_feed(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +204,8 @@ def madrid_feed(spark: SparkSession, folder: str) -> DataFrame:
     WITH l AS (SELECT o_orderkey // 2 AS id, * FROM orders
                QUALIFY row_number() OVER (PARTITION BY o_orderkey // 2 ORDER BY o_orderkey) = 1),
     r AS (SELECT id, '¡Concierto ' || lpad(o_orderkey::VARCHAR, 12, '0') || '!' AS name,
-        'Sala ' || o_orderpriority AS description, 'gran via' AS address, 'not avl' AS email,
+        CASE WHEN o_orderpriority LIKE '1%' THEN 'hall one' ELSE 'Sala ' || o_orderpriority END AS description,
+        'gran via' AS address, 'not avl' AS email,
         NULL::VARCHAR AS website, 'madrid' AS city,
         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS start_date,
         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS end_date, 'POINT(-3.25 40.5)' AS "Point"
@@ -185,7 +214,9 @@ def madrid_feed(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def madrid_events(spark: SparkSession, folder: str) -> DataFrame:
-    return _texts(E.madrid_events(E.madrid_trusted(madrid_feed(spark, folder))))
+    """The first order priority is in the dictionary."""
+    words = _priority_words(spark, folder, "Sala ", "hall one")
+    return _texts(E.madrid_events(E.madrid_trusted(madrid_feed(spark, folder)), words))
 
 
 @query(
@@ -319,10 +350,10 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    WITH s AS (SELECT lpad((28000 + p_partkey)::VARCHAR, 5, '0') AS z, p_partkey % 40 AS x, p_partkey // 40 AS y
-               FROM part WHERE p_partkey < 1000),
+    WITH s AS (SELECT '28' || lpad(p_partkey::VARCHAR, 9, '0') AS z, p_partkey % 40 AS x, p_partkey // 40 AS y
+               FROM part),
     f AS (SELECT DISTINCT c_custkey::VARCHAR AS id, c_name, c_mktsegment,
-            (28000 + c_custkey % 2500)::VARCHAR AS z FROM customer)
+            '28' || lpad(c_custkey::VARCHAR, 9, '0') AS z FROM customer)
     SELECT 'zip' AS kind, z AS a, 'Madrid' AS b, NULL::DOUBLE AS d FROM s
     UNION ALL SELECT 'hotel', id, c_mktsegment, NULL FROM f
     UNION ALL SELECT 'route', l.z, r.z, round(sqrt(power(l.x - r.x, 2) + power(l.y - r.y, 2)), 9)
@@ -333,7 +364,7 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 def postal_graph(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("p_partkey")
     squares = table(spark, folder, "part").select(
-        F.lpad((k + 28000).cast("string"), 5, "0").alias("COD_POSTAL"),
+        F.concat(F.lit("28"), F.lpad(k.cast("string"), 9, "0")).alias("COD_POSTAL"),
         _square(k % 40, F.floor(k / 40)).alias("ring"),
     )
     spain = P.spanish_cities(squares, ["Madrid"])
@@ -341,7 +372,7 @@ def postal_graph(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("property_id"), F.lit(1.0).alias("property_latitude"),
         F.lit(2.0).alias("property_longitude"), F.col("c_name").alias("property_name"),
         F.col("c_mktsegment").alias("city_code_name"),
-        (F.col("c_custkey") % 2500 + 28000).cast("string").alias("property_postalcode"),
+        F.concat(F.lit("28"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("property_postalcode"),
     )
     graph = P.postal_graph({"Madrid": spain}, hotels)
     none = F.lit(None).cast("double").alias("d")

@@ -64,6 +64,16 @@ def parquet_trusted(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("SELECT c_custkey::VARCHAR AS id, c_name AS name FROM customer")
+def csv_header_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one folder with their columns in different orders."""
+    path = scratch(spark, "csv-orders")
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    rows.where("id % 2 = 0").write.options(header=True, sep=";").csv(path)
+    rows.where("id % 2 = 1").select("name", "id").write.mode("append").options(header=True, sep=";").csv(path)
+    return files.scan_csv(spark, path)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
 def filtered_result(spark: SparkSession, folder: str) -> DataFrame:
     """A second, empty result leaves the first in place."""
@@ -78,19 +88,21 @@ def filtered_result(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT c_custkey::VARCHAR AS id, c_name AS name, 'rome' AS city FROM customer
-    UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'paris' FROM supplier
+    UNION ALL SELECT s_suppkey::VARCHAR, 'Niño ' || s_name, 'paris' FROM supplier
     """
 )
 def scan_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Two readable sources with different separators and one that is missing."""
+    """Two readable sources with different separators and encodings, one empty and one missing."""
     root = scratch(spark, "sources")
-    for city, name, p, key, sep in (
-        ("rome", "customer", "c", "custkey", ";"), ("paris", "supplier", "s", "suppkey", "|"),
+    for city, name, p, key, sep, greeting, encoding in (
+        ("rome", "customer", "c", "custkey", ";", "", "UTF-8"),
+        ("paris", "supplier", "s", "suppkey", "|", "Niño ", "ISO-8859-1"),
     ):
         rows = table(spark, folder, name)
-        rows = rows.select(rows[f"{p}_{key}"].alias("id"), rows[f"{p}_name"].alias("name"))
-        rows.write.options(header=True, sep=sep).csv(f"{root}/{city}")
-    frames = files.scan_sources(spark, {c: f"{root}/{c}" for c in ("rome", "paris", "madrid")})
+        rows = rows.select(rows[f"{p}_{key}"].alias("id"), F.concat(F.lit(greeting), f"{p}_name").alias("name"))
+        rows.write.options(header=True, sep=sep, encoding=encoding).csv(f"{root}/{city}")
+    spark.createDataFrame([], "line string").write.text(f"{root}/barcelona")
+    frames = files.scan_sources(spark, {c: f"{root}/{c}" for c in ("rome", "paris", "barcelona", "madrid")})
     return union_all(list(frames.values()))
 
 
@@ -150,12 +162,12 @@ def sync_trusted_rows(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def sync_exploitation_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """A lost checkpoint does not repeat files the ledger holds."""
+    """Two landings, a lost checkpoint, a rerun, a third landing: every file once, none lost."""
     root = scratch(spark, "exploit")
     paths = {n: f"{root}/{n}" for n in ("table", "ledger")}
     src = f"{root}/landing_zone/events"
 
-    for run, where in enumerate(("value < 5 OR value IS NULL", "value >= 5", None)):
+    for run, where in enumerate(("value < 5 OR value IS NULL", "value >= 5 AND value < 50", None, "value >= 50")):
         if where:
             _land(spark, folder, root, where, "append")
         sync_exploitation(

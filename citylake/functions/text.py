@@ -250,10 +250,8 @@ def map_values(c: Column | str, mapping: Mapping[str, str]) -> Column:
 
 
 def any_keyword(text: Column, words: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | text.contains(word)
-    return hit
+    """Whether any word is a substring; one pattern, so a costly text is evaluated once."""
+    return text.rlike("|".join(rf"\Q{word}\E" for word in words)) if words else F.lit(False)
 
 
 def decode_text(content: Column | str) -> Column:

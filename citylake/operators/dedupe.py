@@ -62,21 +62,25 @@ def code_table(df: DataFrame, name: str, alias: str = "POSTAL_CODE") -> DataFram
 
 
 def postcodes_by_city(
-    df: DataFrame,
-    city: str = "city_code_name",
-    postcode: str = "property_postalcode",
-    area_chars: int = 2,
+    df: DataFrame, city: str = "city_code_name", postcode: str = "property_postalcode"
 ) -> DataFrame:
-    """Sorted distinct postcodes per city, in one list per postal area.
+    """The complete ordered list of each city's distinct postcodes, as rows (city, position, postcode).
 
-    Duplicates go first (partial aggregation), and the area prefix bounds each list: five-digit
-    codes give at most 1,000 entries per two-digit area, however many rows a city has.
+    Duplicates go first (partial aggregation). Positions come from ranks within the two first
+    characters plus the number of codes before them, so no task sorts a whole city.
     """
-    pairs = distinct_postcodes(df, city, postcode)
-    area = F.substring(named(postcode).cast("string"), 1, area_chars).alias("area")
-    return pairs.groupBy(named(city), area).agg(
-        F.sort_array(F.collect_list(named(postcode))).alias("postcodes")
+    pairs = distinct_postcodes(df, city, postcode).withColumn(
+        "_head", F.substring(named(postcode).cast("string"), 1, 2)
     )
+    order = named(postcode).cast("string")
+    local = F.row_number().over(Window.partitionBy(named(city), "_head").orderBy(order))
+    sizes = pairs.groupBy(named(city).alias("_city"), F.col("_head").alias("_area")).count()
+    before = F.sum("count").over(Window.partitionBy("_city").orderBy("_area")) - F.col("count")
+    bases = sizes.select("_city", "_area", before.alias("_base"))
+    same = named(city).eqNullSafe(F.col("_city")) & (F.col("_head") == F.col("_area"))
+    ranked = pairs.withColumn("_local", local).join(bases, same)
+    position = (F.col("_base") + F.col("_local")).cast("bigint").alias("position")
+    return ranked.select(named(city), position, named(postcode))
 
 
 def profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from citylake.operators.dedupe import dedupe
 from citylake.operators.joins import lookup
 from citylake.operators.schema import named
 
-LEDGER_SCHEMA = "file_key string, inserted_at timestamp, batch bigint"
+LEDGER_SCHEMA = "file_key string, inserted_at timestamp, batch string"
 
 
 def ledger_key(data_type: Column, city: Column, file_name: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.incremental import insert_if_absent
-from citylake.operators.schema import named, union_all
+from citylake.operators.schema import named
 
 DIMENSION = 1024  # fixed values: default width, longest id, default row limit
 ID_LENGTH = 100
@@ -60,41 +60,25 @@ def query_vectors(
     return rows.orderBy(named(key)).limit(limit).select([named(f) for f in names])
 
 
-def _block_topk(
-    df: DataFrame, block: DataFrame, k: int, key: str, vector: str, out: T.StructType
-) -> DataFrame:
-    """Per data partition, the ``k`` nearest rows to each query of one bounded block."""
-    queried = block.toArrow()
-    flat = queried.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    names = queried.column(0).to_pylist()
-    queries = flat.astype("float64").reshape(len(names), -1)
-    shared = df.sparkSession.sparkContext.broadcast((names, queries))
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        labels, queries = shared.value
-        best = [([], []) for _ in labels]
-        for batch in batches:
-            ids = batch.iloc[:, 0].to_numpy()
-            for start in range(0, len(ids), 1024):
-                part = ids[start : start + 1024]
-                rows = np.stack(batch.iloc[start : start + 1024, 1].to_numpy()).astype("float64")
-                for i, query in enumerate(queries):
-                    gap = rows - query
-                    square = np.einsum("ij,ij->i", gap, gap)
-                    distances = np.concatenate([best[i][0], square])
-                    owners = np.concatenate([np.asarray(best[i][1], dtype=ids.dtype), part])
-                    order = np.lexsort((owners, distances))[:k]
-                    best[i] = (distances[order], owners[order])
-        columns = list(out.names)  # query, row, distance
-        for label, (distances, owners) in zip(labels, best):
-            if len(owners):
-                yield pd.DataFrame(
-                    {columns[0]: [label] * len(owners), columns[1]: owners, columns[2]: np.sqrt(distances)}
-                )
-
-    return df.select(named(key), named(vector)).mapInPandas(nearest, out)
+def _nearest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` nearest rows of one shard to each query of one block, by width."""
+    import numpy as np
+
+    parts = []
+    for width, asked in queries.groupby("width"):
+        own = rows[rows["width"] == width]
+        if own.empty:
+            continue
+        ids, data = own["id"].to_numpy(), np.stack(own["vector"].to_numpy()).astype("float64")
+        for label, vector in zip(asked["query_id"], asked["vector"]):
+            gap = data - np.asarray(vector, "float64")
+            square = np.einsum("ij,ij->i", gap, gap)
+            order = np.lexsort((ids, square))[:k]
+            parts.append(pd.DataFrame({"query_id": label, "id": ids[order], "distance": np.sqrt(square[order])}))
+    if parts:
+        return pd.concat(parts)
+    none = {"query_id": queries["query_id"].iloc[:0], "id": rows["id"].iloc[:0]}
+    return pd.DataFrame(none).assign(distance=np.zeros(0))
 
 
 def l2_topk(
@@ -109,13 +93,11 @@ def l2_topk(
 ) -> DataFrame:
     """The ``k`` nearest rows by L2 distance to each query; exact, ties to the least key.
 
-    Queries are measured first and split into blocks of at most about ``block_bytes``; every
-    block is one map-only pass over ``df`` that emits ``k`` rows per query and partition. No
-    (row, query) pair is ever shuffled. The widest query sets the dimension; rows and queries of
-    another width, which the table contract rules out, are left out.
+    A query is compared with the rows of its own width; ``validate_vectors`` reports rows of a
+    width that breaches the contract. Rows are cut into shards and queries into blocks of about
+    ``block_bytes``, by hash; every shard meets every block in one group, which gives ``k`` rows
+    per query, and a window ranks those. Only the two sizes come to the driver.
     """
-    shape = queries.agg(F.count(F.lit(1)), F.max(F.size(named(query_vector)))).first()
-    count, width = shape[0], shape[1] or 0
     out = T.StructType(
         [
             T.StructField("query_id", queries.schema[query_key].dataType),
@@ -123,19 +105,27 @@ def l2_topk(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    spark = df.sparkSession
-    if not count:
-        return spark.createDataFrame([], out).withColumn("rank", F.lit(0))
-    blocks = max(1, math.ceil(count * width * 8 / block_bytes))
-    usable = df.where(F.size(named(vector)) == width)
-    queries = queries.where(F.size(named(query_vector)) == width)
-    place = F.pmod(F.xxhash64(named(query_key)), F.lit(blocks))
-    parts = []
-    for b in range(blocks):
-        rows = (queries if blocks == 1 else queries.where(place == b)).select(
-            named(query_key), named(query_vector)
-        )
-        if blocks == 1 or not rows.isEmpty():
-            parts.append(_block_topk(usable, rows, k, key, vector, out))
+
+    def parts_of(rows: DataFrame, name: str) -> int:
+        found = rows.agg(F.sum(F.size(named(name)).cast("bigint"))).first()[0] or 0
+        return max(1, math.ceil(found * 8 / block_bytes))
+
+    shards, blocks = parts_of(df, vector), parts_of(queries, query_vector)
+    every = [F.lit(i) for i in range(shards)], [F.lit(i) for i in range(blocks)]
+    rows = df.where(named(vector).isNotNull()).select(
+        named(key).alias("id"), named(vector).alias("vector"), F.size(named(vector)).alias("width"),
+        F.pmod(F.xxhash64(named(key)), F.lit(shards)).cast("int").alias("shard"),
+        F.explode(F.array(*every[1])).alias("block"),
+    )
+    asked = queries.where(named(query_vector).isNotNull()).select(
+        named(query_key).alias("query_id"), named(query_vector).alias("vector"),
+        F.size(named(query_vector)).alias("width"),
+        F.pmod(F.xxhash64(named(query_key)), F.lit(blocks)).cast("int").alias("block"),
+        F.explode(F.array(*every[0])).alias("shard"),
+    )
+    found = (
+        asked.groupBy("shard", "block").cogroup(rows.groupBy("shard", "block"))
+        .applyInPandas(lambda q, r: _nearest(q, r, k), out)
+    )
     ranked = Window.partitionBy("query_id").orderBy("distance", "id")
-    return union_all(parts).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators are designed for. All are safe to set on a
-# running session; none changes results.
+# running session. Only the time zone can change results: of expressions on zoned timestamps.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -45,14 +44,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder that the driver and every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local runs, tests) a temporary folder is made.
+    What is written below it belongs to the caller, who sets its lifetime.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="citylake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder.rstrip("/")
 
 

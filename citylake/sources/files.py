@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from citylake.functions.text import clean_line, decode_text
 from citylake.operators.dedupe import dedupe
-from citylake.operators.incremental import insert_if_absent
-from citylake.operators.schema import tag
+from citylake.operators.incremental import missing_vectors
+from citylake.operators.schema import named, tag, union_all
 
 DELIMITERS = [";", ",", "|", "\t"]  # fixed values: separators that are recognised
 SURPLUS = "_surplus"
@@ -25,16 +25,19 @@ def sniff_delimiter(header: str) -> str:
     return best if best in plain else ","
 
 
-def header_of(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
-    # The CSV reader is used because the text reader knows no encoding.
-    first = (
-        spark.read.schema("line string")
-        .options(sep="\x00", quote="", encoding=encoding)
-        .csv(path)
-        .limit(1)
-        .collect()
+def headers(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> dict[str, list[str]]:
+    """First line of every file that has one, with the files that begin with it.
+
+    Only the first block of each file is read.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"),
     )
-    return first[0].line.lstrip("\ufeff") if first else ""
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("value"))
+    text = F.regexp_replace(F.decode(F.col("value").cast("binary"), encoding), "^\ufeff", "")
+    found = first.groupBy(text.alias("header")).agg(F.collect_list("file").alias("files"))
+    return {r.header: r.files for r in found.collect()}
 
 
 def scan_csv(
@@ -43,30 +46,38 @@ def scan_csv(
     sep: str | None = None,
     encoding: str = "UTF-8",
     schema: T.StructType | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Delimited files with a header.
 
-    The delimiter is taken from the first line unless given. Without a schema every column is
-    text. Rows with more fields than the header are skipped; missing fields are null.
+    Files are read by their own header, so columns may come in any order and some may be absent.
+    The delimiter is taken from the header unless given. Without a schema every column is text.
+    Rows with more fields than the header are skipped; missing fields are null. ``multiline`` is
+    for values that contain line breaks; it makes every file one task.
     """
-    if sep is None or schema is None:
-        header = header_of(spark, path, encoding)
-        sep = sep or sniff_delimiter(header)
-    if schema is None:
-        names = [n.strip().strip('"') for n in _split_header(header, sep)]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    # One field more than declared: it is filled only by rows that are too long.
-    wide = T.StructType([*schema.fields, T.StructField(SURPLUS, T.StringType())])
-    rows = (
-        spark.read.schema(wide)
-        .options(
-            header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", multiLine=multiline,
-            quote='"', escape='"',
+    frames = []
+    for header, files in sorted(headers(spark, path, encoding).items()):
+        own_sep = sep or sniff_delimiter(header)
+        names = [n.strip().strip('"') for n in _split_header(header, own_sep)]
+        declared = {f.name: f for f in schema.fields} if schema is not None else {}
+        fields = [declared.get(n, T.StructField(n, T.StringType())) for n in names]
+        if schema is not None and not set(names) & set(declared):
+            fields = schema.fields  # a header of other names: by position
+        # One field more than declared: it is filled only by rows that are too long.
+        wide = T.StructType([*fields, T.StructField(SURPLUS, T.StringType())])
+        rows = (
+            spark.read.schema(wide)
+            .options(
+                header=True, sep=own_sep, encoding=encoding, mode="PERMISSIVE", multiLine=multiline,
+                quote='"', escape='"',
+            )
+            .csv(files)
         )
-        .csv(path)
-    )
-    return rows.where(F.col(SURPLUS).isNull()).drop(SURPLUS)
+        frames.append(rows.where(F.col(SURPLUS).isNull()).drop(SURPLUS))
+    if not frames:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    out = union_all(frames)
+    return out.select([named(f.name) for f in schema.fields if f.name in out.columns]) if schema is not None else out
 
 
 def _split_header(header: str, sep: str) -> list[str]:
@@ -88,25 +99,31 @@ def scan_text_repaired(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_clean_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of ISO-8859-1 files without quotes and with the known entities replaced."""
-    lines = (
-        spark.read.schema("line string")
-        .options(sep="\x00", quote="", encoding="ISO-8859-1")
-        .csv(path)
-    )
+    # The text source keeps the bytes and every line, blank ones too.
+    lines = spark.read.text(path).select(F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"))
     return lines.select(clean_line("line").alias("line"))
 
 
+def encoding_of(spark: SparkSession, path: str) -> str:
+    """UTF-8 when every line is valid, else ISO-8859-1."""
+    broken = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)
+    return "UTF-8" if broken.isEmpty() else "ISO-8859-1"
+
+
 def scan_sources(
-    spark: SparkSession, sources: Mapping[str, str], encoding: str = "UTF-8"
+    spark: SparkSession, sources: Mapping[str, str], encoding: str | None = None, multiline: bool = False
 ) -> dict[str, DataFrame]:
-    """One tagged frame per city; a source that cannot be read gives an empty frame.
+    """One tagged frame per city; a source that is missing or empty gives an empty frame.
 
-    The empty frame has the columns of the first good source.
+    The empty frame has the columns of the first good source. Unless given, each source's encoding
+    is found by reading it.
     """
     frames: dict[str, DataFrame | None] = {}
     for city, path in sources.items():
         try:
-            frames[city] = tag(scan_csv(spark, path, encoding=encoding), "city", city)
+            known = encoding or encoding_of(spark, path)
+            rows = scan_csv(spark, path, encoding=known, multiline=multiline)
+            frames[city] = tag(rows, "city", city) if rows.columns else None
         except AnalysisException:
             frames[city] = None
     good = [f for f in frames.values() if f is not None]
@@ -168,10 +185,11 @@ def list_zone(spark: SparkSession, root: str, data_type: str | None = None) -> D
 def assets_table(spark: SparkSession, path: str, stored: DataFrame | None = None) -> DataFrame:
     """Binary files as (id = file stem, image_bytes), added to ``stored`` where absent."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    assets = files.select(
-        file_stem(F.col("path")).alias("id"), F.col("content").alias("image_bytes"), "path"
-    )
-    if stored is None:
-        return dedupe(assets, ["id"], ["path"]).drop("path")
-    return insert_if_absent(stored, assets.drop("path"), "id")
-
+    # Winners are chosen on names alone; contents are read for them only.
+    names = files.select(file_stem(F.col("path")).alias("id"), "path")
+    winners = dedupe(names, ["id"], ["path"])
+    if stored is not None:
+        winners = missing_vectors(winners, stored)
+    chosen = winners.select("id", F.col("path").alias("_path"))
+    added = files.join(chosen, F.col("path") == F.col("_path")).select("id", F.col("content").alias("image_bytes"))
+    return added if stored is None else stored.unionByName(added)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.incremental import ledger_append, ledger_key, ledger_read, pending
+from citylake.operators.joins import lookup
 from citylake.sources.files import split_path
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -49,6 +52,19 @@ def sync_trusted(
     writer.trigger(availableNow=True).start(dst).awaitTermination()
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the runs that share a checkpoint; a lost checkpoint starts a new one."""
+    path = f"{checkpoint}/run_id"
+    try:
+        return spark.read.text(path).first().value
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return name
+
+
 def sync_exploitation(
     spark: SparkSession,
     feed: str,
@@ -64,22 +80,24 @@ def sync_exploitation(
     """Append files whose key the ledger lacks, then log the keys.
 
     Data and ledger are written to one folder per batch with overwrite, so a replayed batch
-    replaces its own output instead of adding to it.
+    replaces its own output instead of adding to it. The folder is named by batch and run: batch
+    numbers start again with a new checkpoint, and the run is kept inside the checkpoint.
     """
     files = _documents(spark, src, schema, fmt, multiline)
+    run = _run_id(spark, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        here = batch.sparkSession
+        here, name = batch.sparkSession, f"{run}-{batch_id}"
         # A replayed batch must not see its own entries.
-        earlier = ledger_read(here, ledger).where(F.col("batch") != batch_id)
+        earlier = ledger_read(here, ledger).where(F.col("batch") != name)
         keyed = batch.withColumn(
             "file_key", ledger_key(F.lit(feed), F.col("city"), F.col("file_name"))
         )
-        fresh = pending(keyed, earlier)
-        transform(fresh).write.mode("overwrite").parquet(f"{dst}/batch={batch_id}")
-        ledger_append(earlier, fresh.select("file_key")).write.mode("overwrite").parquet(
-            f"{ledger}/batch={batch_id}"
-        )
+        # One row per file meets the ledger, not one per record.
+        new = pending(keyed.select("file_key").distinct(), earlier)
+        rows = lookup(keyed, new.withColumnRenamed("file_key", "_new"), {"_new": F.col("file_key")}, "left_semi")
+        transform(rows).write.mode("overwrite").parquet(f"{dst}/batch={name}")
+        ledger_append(earlier, new).write.mode("overwrite").parquet(f"{ledger}/batch={name}")
 
     (
         files.writeStream.foreachBatch(load)

@@ -130,7 +130,7 @@ def test_postcodes_by_city(spark):
         "city_code_name string, property_postalcode string",
     )
     assert rows(D.postcodes_by_city(df)) == [
-        ("Paris", "75", ["75001", "75002"]), ("Rome", "00", ["00100"]),
+        ("Paris", 1, "75001"), ("Paris", 2, "75002"), ("Rome", 1, "00100"),
     ]
 
 

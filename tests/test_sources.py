@@ -32,7 +32,7 @@ def test_sniffing(header, expected):
 
 def test_scan_csv_skips_long_rows_only(spark, tmp_path):
     path = put(tmp_path / "a.csv", '﻿id;"the name"\n1;x\n2;y;surplus\n3\n4;"two\nlines; quoted ""q"""\n')
-    df = files.scan_csv(spark, path)
+    df = files.scan_csv(spark, path, multiline=True)
     assert df.columns == ["id", "the name"]
     assert rows(df) == [("1", "x"), ("3", None), ("4", 'two\nlines; quoted "q"')]
     assert df.count() == 3
@@ -49,6 +49,15 @@ def test_repaired_text_and_lines(spark, tmp_path):
     assert [r.text for r in files.scan_text_repaired(spark, str(tmp_path / "t")).collect()] == ["né", "né"]
     path = put(tmp_path / "lines.txt", 'a "b" &amp; c\nESPA&Ntilde;A é\n'.encode("latin-1"))
     assert rows(files.scan_clean_lines(spark, path)) == [("ESPAñA é",), ("a b & c",)]
+    path = put(tmp_path / "blank.txt", "a\n\n \nb\n")
+    assert [len(r.line.strip()) for r in files.scan_clean_lines(spark, path).collect()] == [1, 0, 0, 1]
+
+
+def test_scan_csv_by_header(spark, tmp_path):
+    put(tmp_path / "two" / "a.csv", "id;name\n1;x\n")
+    put(tmp_path / "two" / "b.csv", "name;id\ny;2\n")
+    got = files.scan_csv(spark, str(tmp_path / "two")).select("id", "name")
+    assert rows(got) == [("1", "x"), ("2", "y")]
 
 
 def test_scan_sources_falls_back(spark, tmp_path):

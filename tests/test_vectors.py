@@ -27,6 +27,14 @@ def test_topk_is_exact(spark, block_bytes):
         assert [found[(f"q{i}", r + 1)] for r in range(4)] == [(j, pytest.approx(gaps[j])) for j in order]
 
 
+def test_topk_by_width(spark):
+    """A stray query of another width is answered by rows of its width and disturbs no other."""
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0])], "id long, embedding array<float>")
+    queries = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [1.0, 1.0, 1.0])], "query_id string, query array<float>")
+    got = sorted((r.query_id, r.id, r.distance) for r in V.l2_topk(df, queries, 2).collect())
+    assert got == [("a", 1, 0.0), ("a", 2, 5.0)]
+
+
 def test_topk_without_queries(spark):
     df = spark.createDataFrame([(1, [1.0])], "id long, embedding array<float>")
     queries = spark.createDataFrame([], "query_id string, query array<float>")
