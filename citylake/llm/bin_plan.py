@@ -56,7 +56,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
     return out
 
 
-def plan(counts: np.ndarray, capacity: int, groups: int = 48, small: int = 8) -> list[Run]:
+def plan(counts: np.ndarray, capacity: int, groups: int = 600, small: int = 4) -> list[Run]:
     """Runs that place every document; ``counts[n]`` documents have length ``n``, ``0 < n <= capacity``.
 
     Linear grouping: lengths above ``capacity / small`` are ranked and cut into ``groups`` of equal

@@ -232,5 +232,5 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, percent: int = PERCENT, *
                   **options) -> DataFrame:
     """``df`` without the documents that contain a benchmark item."""
     found = contaminated(df, benchmark, percent, id=id, text=text, **options)
-    found = found.select(F.col("doc_id").alias("_found")).distinct()
-    return df.join(found, df[id].cast("bigint").eqNullSafe(F.col("_found")), "left_anti")
+    found = found.select(F.col("doc_id").alias("found_id")).distinct()
+    return df.join(found, df[id].cast("bigint").eqNullSafe(found["found_id"]), "left_anti")

@@ -202,7 +202,10 @@ def near_duplicates(
 
 def deduplicate(df: DataFrame, size: int = 5, numerator: int = 80, denominator: int = 100, *,
                 id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one with the smallest id. Documents without words stay."""
+    """One document of each group: the one with the smallest id. Documents without words stay.
+
+    Rows that share the id of a kept row count as that document and stay with it.
+    """
     found = near_duplicates(df, size, numerator, denominator, id=id, text=text)
-    keys = found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return df.join(keys, df[id].cast("bigint").eqNullSafe(F.col("_kept_id")), "left_semi")
+    keys = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return df.join(keys, df[id].cast("bigint").eqNullSafe(keys["kept_id"]), "left_semi")

@@ -26,7 +26,7 @@ from citylake.llm.wordhash import batches
 
 CAPACITY = 2048
 BUCKETS = 256
-GROUPS = 48
+GROUPS = 600
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 

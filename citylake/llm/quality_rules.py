@@ -8,7 +8,7 @@ probability of being good; hard limits (``base_failed``) reject beforehand.
 Everything that touches documents is a built-in expression in one pass without a shuffle of texts; only
 vote patterns are grouped. Null and empty texts count no words and fail the base. Rows that repeat are
 judged alike. With no documents, or none that passes the base, the posterior rests on the start values.
-Other columns are kept by ``annotate`` and must not start with ``_q_``.
+``annotate`` keeps other columns and replaces those named like its own; ``keep_good`` changes none.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citylake.functions.base import let
+from citylake.operators.schema import named
 
 SPACE_CLASS = r"[ \t\n\x0B\f\r]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -194,4 +195,8 @@ def annotate(
 
 def keep_good(df: DataFrame, folder: str, text: str = "text") -> DataFrame:
     """The rows that are kept, with the columns of ``df``; ``folder`` takes the annotated rows."""
-    return annotate(df, text, keep_with=folder, keep_text=True).where("kept").select(*df.columns)
+    # The other columns travel packed, whatever their names.
+    rest = F.struct(*[named(c) for c in df.columns if c != text], F.lit(0).alias("_")).alias("rest")
+    packed = df.select(named(text).alias("text"), rest)
+    kept = annotate(packed, keep_with=folder, keep_text=True).where("kept")
+    return kept.select([F.col("text").alias(c) if c == text else F.col("rest")[c].alias(c) for c in df.columns])
