@@ -72,21 +72,25 @@ def connect(
     confirm: Callable[[DataFrame], DataFrame],
     near: str = "true",
     block_links: BlockLinks | None = None,
+    traits: DataFrame | None = None,
     rounds: int = ROUNDS,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the nodes whose links are confirmed, and the links found.
 
-    ``members``: ``key``, ``node`` (bigint), each pair once; perhaps ``sketch`` and ``weight``. ``near`` is a
-    condition on the sketches ``s`` and ``t`` without which a pair is no candidate. ``payload`` gives
-    ``node``, ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table ``a``, ``b``,
-    ``payload_a``, ``payload_b``. With ``block_links``, what remains of a large key is compared block by
-    block and not written out as pairs.
+    ``members``: ``key``, ``node`` (bigint), each pair once. ``traits``: ``node`` with its ``sketch`` or its
+    ``weight``. ``near`` is a condition on the sketches ``s`` and ``t`` without which a pair is no candidate.
+    ``payload`` gives ``node``, ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table
+    ``a``, ``b``, ``payload_a``, ``payload_b``. With ``block_links``, what remains of a large key is compared
+    block by block and not written out as pairs.
     """
+    active = shared_keys(members.select("key", "node"))
+    active = attach(active, traits, "node") if traits is not None else active
     for name in ("sketch", "weight"):
-        if name not in members.columns:
-            members = members.withColumn(name, F.lit(0).cast("bigint"))
-    active = written(shared_keys(members), "active")
-    contents = written(payload(active.select("node").distinct()), "payload")
+        if name not in active.columns:
+            active = active.withColumn(name, F.lit(0).cast("bigint"))
+    active = written(active, "active")
+    # Blocks need the contents of all nodes; pairs alone, of the nodes in them.
+    contents = written(payload(active.select("node").distinct()), "payload") if block_links else None
     active = active.withColumn("component", F.col("node"))
     links, tested = None, None
     for turn in range(rounds + 1):
@@ -112,6 +116,9 @@ def connect(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
+        if not block_links:
+            nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            contents = written(payload(nodes), "payload")
         full = attach(pairs, contents.select(F.col("node").alias("a"), F.col("payload").alias("payload_a")), "a")
         full = attach(full, contents.select(F.col("node").alias("b"), F.col("payload").alias("payload_b")), "b")
         found = confirm(full).select("a", "b")

@@ -179,7 +179,7 @@ def near_duplicates(
         F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"), F.any_value("n_shingles").alias("weight")
     )
     nodes = written(nodes, "nodes")
-    members = nodes.select("node", "weight", F.explode("keys").alias("key"))
+    members = nodes.select("node", F.explode("keys").alias("key"))
 
     def payload(wanted: DataFrame) -> DataFrame:
         ids = attach(nodes.drop("keys", "weight"), wanted, "node").select(F.col("first_id").alias("doc_id"))
@@ -188,7 +188,8 @@ def near_duplicates(
         return named.union(unnamed).dropDuplicates(["node"])
 
     groups, _ = connect(
-        members, payload, lambda p: similar(p, numerator, denominator), block_links=block_links(numerator, denominator)
+        members, payload, lambda p: similar(p, numerator, denominator),
+        block_links=block_links(numerator, denominator), traits=nodes.select("node", "weight"),
     )
     named = attach(nodes.select("node", "first_id"), groups, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))

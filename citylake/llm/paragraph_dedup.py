@@ -154,7 +154,8 @@ def repeated_passages(df: DataFrame, *, id: str = "doc_id", text: str = "text")
     place = F.struct("row_key", "start", "n_words")
     nodes = paragraphs.groupBy("node").agg(F.any_value("keys").alias("keys"), F.min(place).alias("at"))
     nodes = written(nodes, "paragraph-nodes")
-    members = nodes.select("node", F.col("at.n_words").cast("bigint").alias("weight"), F.explode("keys").alias("key"))
+    members = nodes.select("node", F.explode("keys").alias("key"))
+    traits = nodes.select("node", F.col("at.n_words").cast("bigint").alias("weight"))
 
     def payload(wanted: DataFrame) -> DataFrame:
         at = attach(nodes.select("node", "at"), wanted, "node")
@@ -162,7 +163,8 @@ def repeated_passages(df: DataFrame, *, id: str = "doc_id", text: str = "text")
         return _sets_at(attach(_texts(df, id, text), at, "row_key")).dropDuplicates(["node"])
 
     groups, _ = connect(
-        members, payload, lambda p: similar(p, NUMERATOR, DENOMINATOR), block_links=block_links(NUMERATOR, DENOMINATOR)
+        members, payload, lambda p: similar(p, NUMERATOR, DENOMINATOR),
+        block_links=block_links(NUMERATOR, DENOMINATOR), traits=traits,
     )
     named = attach(paragraphs.drop("keys"), groups, "node", "left")
     named = named.withColumn("group", F.coalesce("component", "node"))

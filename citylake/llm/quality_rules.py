@@ -5,6 +5,9 @@ patterns (at most 3**rules rows, whatever the input) estimates for each rule how
 documents draw each vote, and the share of good documents. A document is kept by its posterior
 probability of being good; hard limits (``base_failed``) reject beforehand.
 
+A kind of bad document that a single rule notices cannot be told from that rule's errors, so the rules
+overlap: symbols, share of letters and function words see the same noise from different sides.
+
 Everything that touches documents is a built-in expression in one pass without a shuffle of texts; only
 vote patterns are grouped. Null and empty texts count no words and fail the base. Rows that repeat are
 judged alike. With no documents, or none that passes the base, the posterior rests on the start values.
@@ -28,6 +31,13 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 GOOD, ABSTAIN, BAD = "g", "a", "b"
+#: Common short words of running text, by language.
+FUNCTION_WORDS = (
+    *"the of and to in a is that it for was on are as with be by this at or from".split(),
+    *"le la les de des et un une du en que pour dans est pas sur par avec".split(),
+    *"der die das und ist von mit den zu ein eine im nicht auf für sich auch".split(),
+    *"el los las y que no se lo para con del al su es por".split(),
+)
 #: Few repeated windows are looked up by value, more are found by sorting positions.
 FEW = 16
 
@@ -80,6 +90,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         F.char_length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         repeated_words(w).alias("n_repeat_words"),
         F.size(F.array_distinct(w)).alias("distinct"),
+        F.size(F.filter(w, lambda x: x.isin(*FUNCTION_WORDS))).alias("function"),
     ))
     counted = df.withColumn("_q_counts", counts)
     return counted.select(
@@ -88,6 +99,8 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         duplicate_lines(whole).alias("n_dup_lines"),
         F.col("_q_counts.n_repeat_words"), F.col("_q_counts.distinct").alias("_q_distinct"),
+        F.col("_q_counts.function").alias("_q_function"),
+        F.char_length(F.regexp_replace(whole, r"[\x00-@\[-`{-\x7F]+", "")).alias("_q_letters"),
         F.regexp_count(whole, F.lit(r"[\p{Lu}]")).alias("_q_upper"),
         F.regexp_count(whole, F.lit(r"[.!?]")).alias("_q_stops"),
         F.regexp_count(whole, F.lit(r"\n")).alias("_q_breaks"),
@@ -104,6 +117,8 @@ class Rule(NamedTuple):
 
 RULES = (
     Rule("symbols", "10 * n_symbols > n_words", "50 * n_symbols < n_words"),
+    Rule("letters", "100 * _q_letters < 86 * word_chars", "100 * _q_letters > 93 * word_chars"),
+    Rule("function_words", "100 * _q_function < 4 * n_words", "100 * _q_function > 10 * n_words"),
     Rule("capitals", "10 * _q_upper > 3 * word_chars", "10 * _q_upper < word_chars"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 12 * n_words",
          "word_chars > 3 * n_words AND word_chars < 9 * n_words"),
@@ -121,6 +136,13 @@ def votes(rules: tuple[Rule, ...] = RULES) -> Column:
     return F.concat(*each)
 
 
+#: What is expected of a rule before any data: votes on good and on bad documents. It weighs as much as
+#: this share of the documents, so that a small class of bad ones is not explained away.
+GOOD_VOTES = {GOOD: 0.69, ABSTAIN: 0.30, BAD: 0.01}
+BAD_VOTES = {GOOD: 0.55, ABSTAIN: 0.20, BAD: 0.25}
+PRIOR_SHARE = 0.03
+
+
 class Model(NamedTuple):
     """Log-odds of good: ``prior`` plus ``weight[rule][vote]``."""
 
@@ -137,13 +159,15 @@ def fit(patterns: list[tuple[str, int]], rules: int, rounds: int = 30, good_shar
     for _ in range(rounds):
         good = sum(n * q for (_, n), q in zip(patterns, posterior))
         bad = sum(n * (1 - q) for (_, n), q in zip(patterns, posterior))
-        weight = []
+        weight, strength = [], PRIOR_SHARE * (good + bad)
         for r in range(rules):
             row = {}
             for vote in (GOOD, ABSTAIN, BAD):
                 g = sum(n * q for (p, n), q in zip(patterns, posterior) if p[r] == vote)
                 b = sum(n * (1 - q) for (p, n), q in zip(patterns, posterior) if p[r] == vote)
-                row[vote] = math.log((g + 1) / (good + 3)) - math.log((b + 1) / (bad + 3))
+                g = (g + strength * GOOD_VOTES[vote]) / (good + strength)
+                b = (b + strength * BAD_VOTES[vote]) / (bad + strength)
+                row[vote] = math.log(g) - math.log(b)
             # A vote never speaks against what it says.
             weight.append({GOOD: max(row[GOOD], 0.0), ABSTAIN: 0.0, BAD: min(row[BAD], 0.0)})
         model = Model(math.log((good + 1) / (bad + 1)), weight)
