@@ -94,7 +94,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     ))
     counted = df.withColumn("_q_counts", counts)
     return counted.select(
-        *[F.col(c) for c in df.columns],
+        *[named(c) for c in df.columns if c not in COLUMNS],
         F.col("_q_counts.n_words"), F.col("_q_counts.word_chars"),
         F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         duplicate_lines(whole).alias("n_dup_lines"),
@@ -107,6 +107,12 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+#: Columns that ``annotate`` makes.
+COLUMNS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "votes", "quality", "kept",
+)
+
+
 class Rule(NamedTuple):
     """Votes bad where ``bad`` holds, good where ``good`` holds, else abstains."""
 
