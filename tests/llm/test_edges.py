@@ -18,13 +18,18 @@ CLASHING = [
 ]
 LONG = " ".join(f"w{i % 977}" for i in range(60_000))
 LINE = "one two three four five six seven eight nine ten"
-SENTENCE = "Reading a plain and careful text about rivers, towns and old bridges is a calm way to spend time. "
+PROSE = (
+    "The old bridge at the end of the valley was built in stone by people of the nearby town. It stands on three "
+    "arches, and a narrow path leads from it to the mill. In spring the river rises to the second row of blocks, but "
+    "no flood has ever moved them. Visitors come for the view in the evening, when light falls on the water and "
+    "swallows hunt above. A small museum on the left bank shows tools, maps and letters of the masons."
+)
 
 
 def odd(spark, empty=False):
     rows = [
         (None, None), (None, LINE), (1, None), (2, ""), (3, " \n\t\n"), (4, "word"), (5, LINE), (5, LINE), (6, LINE),
-        (7, LONG), (8, LONG + " tail"), (9, SENTENCE * 5), (10, "\n".join([LINE, "", LINE])), (11, "é ü ñ 漢字 🙂"),
+        (7, LONG), (8, LONG + " tail"), (9, PROSE), (10, "\n".join([LINE, "", LINE])), (11, "é ü ñ 漢字 🙂"),
         (12, 'token = "abcdef1234567890abcdef"'), (12, "another text under the same id"),
     ]
     df = spark.createDataFrame([] if empty else rows, "doc_id long, text string").repartition(3)
