@@ -13,6 +13,9 @@ from citylake.llm.storage import fresh
 from citylake.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+#: Labels (16 bytes each) that are sent to every task at most.
+BROADCAST_LABELS = 5_000_000
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,6 +50,8 @@ def _training_rows(spark: SparkSession, folder: str, label: str, parts: int, whi
     """Labelled texts that are not held out."""
     labels = table(spark, folder, "labels").select("doc_id", F.col(label).cast("int").alias("label"))
     labels = labels.where(~toxicity.held_out(F.col("doc_id"), parts, which) & F.col("label").isin(0, 1))
+    # Few labels go to the texts; beyond that the texts are shuffled to them.
+    labels = F.broadcast(labels) if labels.count() <= BROADCAST_LABELS else labels
     return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id").drop("doc_id")
 
 
