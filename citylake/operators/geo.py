@@ -83,6 +83,19 @@ def _candidates(shapes: DataFrame) -> DataFrame:
     )
 
 
+def closed_ring(ring: Column) -> Column:
+    """The ring with its first vertex repeated at the end."""
+    open_ = F.get(ring, F.lit(0)) != F.get(ring, F.size(ring) - 1)
+    return F.when(open_, F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
+
+
+def invalid_rings(polygons: DataFrame, code: str = "COD_POSTAL", ring: str = "ring") -> DataFrame:
+    """Rows (code, problem) whose ring is missing or has fewer than three different vertices."""
+    vertices = F.size(F.array_distinct(named(ring)))
+    problem = F.when(named(ring).isNull(), "no ring").when(vertices < 3, "fewer than three vertices")
+    return polygons.select(named(code), problem.alias("problem")).where("problem IS NOT NULL")
+
+
 def touching_pairs(
     polygons: DataFrame,
     code: str = "COD_POSTAL",
@@ -93,13 +106,11 @@ def touching_pairs(
     """All ordered pairs of rows whose polygons touch.
 
     Rows with the same outline are reduced to one shape first and expanded last, so copies of a
-    polygon are never paired with each other.
+    polygon are never paired with each other. Open rings are closed; ``invalid_rings`` reports the
+    rows that have no area to touch.
     """
-    rows = polygons.select(
-        named(code).alias("code"),
-        named(ring).alias("ring"),
-        F.sha2(F.to_json(named(ring)), 256).alias("shape"),
-    ).where(F.size("ring") >= 4)
+    rows = polygons.select(named(code).alias("code"), closed_ring(named(ring)).alias("ring"))
+    rows = rows.where(F.size("ring") >= 4).withColumn("shape", F.sha2(F.to_json("ring"), 256))
     # Both are read several times below: written once, then scanned by column.
     rows = materialise(rows, "polygons")
     shapes = materialise(rows.groupBy("shape").agg(F.any_value("ring").alias("ring")), "shapes")

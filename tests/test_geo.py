@@ -149,3 +149,16 @@ def test_reverse_geocode_matches_brute_force(spark, cluster):
     assert got == expected
     depth = geo._depth(geo._sites(book, "latitude", "longitude", ["address", "postcode"]), reach)
     assert depth > 3 if cluster else depth < 3
+
+
+def test_open_rings_are_closed(spark):
+    """Two triangles on one edge touch, whether their rings are closed or not; a line is reported."""
+    shape = "COD_POSTAL string, ring array<struct<x: double, y: double>>"
+    one, two = [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)], [(1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    rows = [("a", one), ("b", [*two, two[0]]), ("c", [(5.0, 5.0), (6.0, 6.0)]), ("d", None)]
+    df = spark.createDataFrame(rows, shape)
+    pairs = {tuple(r) for r in geo.touching_pairs(df).collect()}
+    assert pairs == {("a", "b"), ("b", "a")}
+    assert {tuple(r) for r in geo.invalid_rings(df).collect()} == {
+        ("c", "fewer than three vertices"), ("d", "no ring"),
+    }

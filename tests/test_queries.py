@@ -9,7 +9,7 @@ from tests.conftest import SF_SMALL
 ORACLES = driver.oracle_sql()
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.catalog.QUERIES))
 def test_query(spark, name):
     assert name in ORACLES
     assert difference(spark, SF_SMALL, name, driver.queries()[name], ORACLES[name]) is None
