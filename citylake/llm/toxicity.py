@@ -2,9 +2,10 @@
 
 An n-gram is 4 to 6 bytes of the lower-case text within a word, its borders included; marks count as
 borders. N-grams are hashed to ``BUCKETS`` features and count once per document. The log ratio of a
-feature's frequency in toxic and other documents comes from all labelled training rows. A logistic
-regression on the scaled features is fitted on at most ``SAMPLE`` training texts, over the ``FEATURES``
-features whose classes differ most.
+feature's frequency in toxic and other documents comes from all labelled training rows, and every feature
+that occurs there has a weight. A logistic regression on the scaled features is fitted on at most
+``SAMPLE`` training texts: the ``FEATURES`` features whose classes differ most have a factor of their own,
+all others share one.
 
 Null and empty texts have no n-grams and get the score of the intercept. Equal texts get equal scores.
 Repeated labels count repeatedly; without labels of both classes every score is the smoothed share of
@@ -96,29 +97,39 @@ def class_counts(labelled: DataFrame) -> np.ndarray:
     return counts
 
 
-def sampled_features(labelled: DataFrame, chosen: np.ndarray, limit: int):
-    """Labels and chosen features (row, bucket) of at most ``limit`` texts, once per label."""
+def other_ratios(c0: np.ndarray, c1: np.ndarray, n0: float, n1: float) -> np.ndarray:
+    """Log ratio of a feature's frequencies, 0 for one that never occurs, however unequal the classes are."""
+    share = n1 / (n0 + n1)
+    return np.log((c1 + SMOOTHING * share) / n1) - np.log((c0 + SMOOTHING * (1 - share)) / n0)
+
+
+def sampled_features(labelled: DataFrame, chosen: np.ndarray, others: np.ndarray, limit: int):
+    """Labels, chosen features (row, bucket) and sums of ``others`` by label, of at most ``limit`` texts, once per label."""
+    sent = labelled.sparkSession.sparkContext.broadcast((chosen, others))  # BUCKETS numbers each
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, others = sent.value
         for batch in parts:
             for lo, hi in batches(batch.column("text")):
                 row, bucket = ngrams(batch.column("text").slice(lo, hi - lo))
-                keep = chosen[bucket]
-                key = np.unique(row[keep] * BUCKETS + bucket[keep])
+                key = np.unique(row * BUCKETS + bucket)
+                label = batch.column("label").slice(lo, hi - lo).to_numpy()
+                rest = np.bincount(key // BUCKETS, others[label[key // BUCKETS], key % BUCKETS], minlength=hi - lo)
+                key = key[chosen[key % BUCKETS]]
                 offsets = np.searchsorted(key, np.arange(hi - lo + 1) * BUCKETS)
                 features = pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(key % BUCKETS, pa.int32())
                 )
-                rest = [batch.column(c).slice(lo, hi - lo) for c in ("h", "label")]
-                yield pa.record_batch([*rest, features], names=["h", "label", "features"])
+                same = [batch.column(c).slice(lo, hi - lo) for c in ("h", "label")]
+                yield pa.record_batch([*same, features, pa.array(rest)], names=["h", "label", "features", "rest"])
 
     some = sample_texts(labelled.select("text", "label"), limit)
-    found = some.mapInArrow(run, "h bigint, label int, features array<int>").dropDuplicates(["h", "label"])
+    found = some.mapInArrow(run, "h bigint, label int, features array<int>, rest double").dropDuplicates(["h", "label"])
     found = found.toPandas().sort_values(["h", "label"])
     sizes = [len(x) for x in found["features"]]
     row = np.repeat(np.arange(len(found)), sizes)
     bucket = np.concatenate([*found["features"], np.zeros(0, np.int64)]).astype(np.int64)
-    return found["label"].to_numpy(float), row, bucket
+    return found["label"].to_numpy(float), row, bucket, found["rest"].to_numpy(float)
 
 
 def fit(labelled: DataFrame, limit: int = SAMPLE) -> Model:
@@ -135,20 +146,30 @@ def fit(labelled: DataFrame, limit: int = SAMPLE) -> Model:
     chosen = np.zeros(BUCKETS, bool)
     chosen[np.argsort(-score, kind="stable")[:FEATURES]] = True
     chosen &= c0 + c1 > 1
-    label, row, bucket = sampled_features(labelled, chosen, limit)
+    # A text's own count is left out of the ratios that it is fitted on.
+    own = np.stack((
+        other_ratios(np.maximum(c0 - 1, 0), c1, max(n0 - 1, 1), n1), other_ratios(c0, np.maximum(c1 - 1, 0), n0, max(n1 - 1, 1))
+    ))
+    own[:, chosen] = 0
+    label, row, bucket, rest = sampled_features(labelled, chosen, own, limit)
+    scale = (np.abs(rest).mean() if len(rest) else 0.0) + 1e-9
+    rest = rest / scale
     names, column = np.unique(bucket, return_inverse=True)
     value, n = ratio[bucket], max(len(label), 1)
-    weight, intercept = np.zeros(len(names)), float(np.log((n1 + 1) / (n0 + 1)))
+    weight, shared, intercept = np.zeros(len(names)), 0.0, float(np.log((n1 + 1) / (n0 + 1)))
     # Full-batch Adam with an L2 penalty.
-    moment, square, step = np.zeros(len(names) + 1), np.zeros(len(names) + 1), 0.05
+    moment, square, step = np.zeros(len(names) + 2), np.zeros(len(names) + 2), 0.05
     for turn in range(1, 401):
         odds = np.bincount(row, value * weight[column], minlength=n) + intercept
+        odds = odds + shared * rest if len(label) else odds
         error = _sigmoid(odds) - label if len(label) else np.zeros(n)
-        slope = np.append(np.bincount(column, value * error[row], minlength=len(names)) / n + PENALTY * weight, error.mean())
+        slope = np.bincount(column, value * error[row], minlength=len(names)) / n + PENALTY * weight
+        common = (rest * error).mean() if len(label) else 0.0
+        slope = np.concatenate((slope, [common + PENALTY * shared, error.mean()]))
         moment, square = 0.9 * moment + 0.1 * slope, 0.999 * square + 0.001 * slope**2
         change = step * (moment / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8)
-        weight, intercept = weight - change[:-1], intercept - change[-1]
-    full = np.zeros(BUCKETS, np.float32)
+        weight, shared, intercept = weight - change[:-2], max(shared - change[-2], 0.0), intercept - change[-1]
+    full = np.where(chosen, 0, shared / scale * other_ratios(c0, c1, n0, n1)).astype(np.float32)
     full[names] = weight * ratio[names]
     return Model(full, float(intercept))
 
