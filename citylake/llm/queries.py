@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontaminate, line_dedup, minhash_dedup, packing, paragraph_dedup, quality_net
-from citylake.llm import quality_rules, secret_crf, sequence_files, toxicity
+from citylake.llm import decontaminate, line_dedup, merkle, minhash_dedup, packing, paragraph_dedup, quality_net
+from citylake.llm import quality_rules, secret_crf, sequence_files, sql, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -107,3 +107,21 @@ def op9_pack(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_groups(table(spark, folder, "documents")).drop("row_key")
+
+
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.lowered(F.col("text"))).otherwise(F.col("text"))
+    found = merkle.witnesses(docs, LEAF_FIELDS, group="lang", key="doc_id", tampered={"text": changed})
+    folded = found.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("steps")))
+    return folded.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+ORACLES["op11_merkle_manifest"] = sql.MERKLE
