@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontaminate, line_dedup, merkle, minhash_dedup, packing, paragraph_dedup, quality_net
-from citylake.llm import quality_rules, secret_crf, sequence_files, sql, toxicity
+from citylake.llm import conversations, decontaminate, line_dedup, merkle, minhash_dedup, packing, paragraph_dedup
+from citylake.llm import quality_net, quality_rules, secret_crf, sequence_files, sql, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -124,4 +124,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.judged(conversations.damaged(table(spark, folder, "conversations"))))
+
+
 ORACLES["op11_merkle_manifest"] = sql.MERKLE
+ORACLES["op12_conversation_repair"] = sql.CONVERSATIONS

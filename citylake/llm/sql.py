@@ -90,3 +90,85 @@ SELECT doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS
 
 
 MERKLE = _merkle()
+
+
+def _edit(found: str, cost: str, letter: str) -> str:
+    """An audit with its cost before it, as text that sorts by cost, then audit."""
+    return f"lpad(CAST(CAST(left({found}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({found}, 10) || '{letter}'"
+
+
+def _conversations() -> str:
+    put = {s: _edit(s, "5", "I") for s in "esua"}
+    user = {s: f"CASE WHEN NOT gone THEN CASE WHEN initial = 'u' THEN {_edit(s, 'stay', 'K')} ELSE {_edit(s, 'stay + 1', 'R')} END END" for s in "esa"}
+    assistant = f"CASE WHEN NOT gone THEN CASE WHEN initial = 'a' THEN {_edit('u', 'stay', 'K')} ELSE {_edit('u', 'stay + 1', 'R')} END END"
+    system = f"CASE WHEN NOT gone AND initial = 's' THEN {_edit('e', 'stay', 'K')} END"
+    # Each turn comes after the turns inserted before it.
+    inserted = f"SELECT conv_id, pos, e, s, least(u, {put['e']}, {put['s']}, {put['a']}) AS u, a FROM dp"
+    inserted = f"SELECT conv_id, pos, e, s, u, least(a, {put['u']}) AS a FROM ({inserted})"
+    return f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations, crc_table
+),
+copies AS (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM raw),
+turns AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos
+  FROM copies
+),
+judged AS (
+  SELECT *, left(role, 1) AS initial, CASE
+    WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS fault
+  FROM turns
+),
+rows_ AS MATERIALIZED (
+  SELECT *, fault IN ('b', 'd') AS gone, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS stay,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM judged
+),
+ids AS MATERIALIZED (SELECT DISTINCT conv_id FROM conversations),
+facts AS (
+  SELECT ids.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(pos) AS n
+  FROM ids LEFT JOIN rows_ ON rows_.conv_id IS NOT DISTINCT FROM ids.conv_id GROUP BY ids.conv_id
+),
+dp(conv_id, pos, e, s, u, a) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '000000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM ids
+  UNION ALL
+  SELECT x.conv_id, r.pos, {_edit("e", "2", "D")}, least({_edit("s", "2", "D")}, {system}),
+         least({_edit("u", "2", "D")}, {user["e"]}, {user["s"]}, {user["a"]}), least({_edit("a", "2", "D")}, {assistant})
+  FROM ({inserted}) x JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM x.conv_id AND r.pos = x.pos + 1
+),
+ended AS (
+  SELECT f.*, least(e, a) AS best FROM ({inserted}) x JOIN facts f ON f.conv_id IS NOT DISTINCT FROM x.conv_id AND f.n = x.pos
+),
+audits AS (SELECT * EXCLUDE (best), CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM ended),
+letters AS (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS k, audit FROM audits),
+edits AS (
+  SELECT conv_id, k, audit[k] AS letter, count(*) FILTER (audit[k] <> 'I') OVER w AS pos,
+         count(*) FILTER (audit[k] <> 'D') OVER w AS out
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+),
+placed AS (
+  SELECT d.*, r.role, r.text,
+         bool_or(d.out = 1 AND letter = 'K' AND r.initial = 's') OVER (PARTITION BY d.conv_id) AS led
+  FROM edits d LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.pos = d.pos AND letter <> 'I'
+  WHERE letter <> 'D'
+),
+repaired AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN (out - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole
+  FROM placed GROUP BY conv_id
+)
+SELECT a.conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM audits a LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+CONVERSATIONS = _conversations()
