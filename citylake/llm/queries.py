@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import conversations, decontaminate, line_dedup, merkle, minhash_dedup, packing, paragraph_dedup
-from citylake.llm import quality_net, quality_rules, secret_crf, sequence_files, sql, toxicity
+from citylake.llm import conversations, decontaminate, language_id, line_dedup, merkle, minhash_dedup, packing
+from citylake.llm import paragraph_dedup, quality_net, quality_rules, secret_crf, sequence_files, sql, toxicity
 from citylake.llm.storage import fresh
 from citylake.session import table
 
@@ -129,5 +129,14 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.repair(conversations.judged(conversations.damaged(table(spark, folder, "conversations"))))
 
 
+@query
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(toxicity.held_out(F.col("doc_id"), 4, 2), F.lit(False))
+    model = language_id.learn(docs.where(~held_out & F.col("doc_id").isNotNull()))
+    found = language_id.identify(docs, model, spans=False)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 ORACLES["op11_merkle_manifest"] = sql.MERKLE
 ORACLES["op12_conversation_repair"] = sql.CONVERSATIONS
