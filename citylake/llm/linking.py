@@ -78,7 +78,8 @@ def connect(
     """Components of the nodes whose links are confirmed, and the links found.
 
     ``members``: ``key``, ``node`` (bigint), each pair once. ``traits``: ``node`` with its ``sketch`` or its
-    ``weight``. ``near`` is a condition on the sketches ``s`` and ``t`` without which a pair is no candidate.
+    ``weight``. ``near`` is a condition on the sketches ``s``, ``t`` and weights ``v``, ``w`` of two nodes without
+    which a pair is no candidate.
     ``payload`` gives ``node``, ``payload`` for a table of nodes. ``confirm`` keeps the linked rows of a table
     ``a``, ``b``, ``payload_a``, ``payload_b``. With ``block_links``, what remains of a large key is compared
     block by block and not written out as pairs.
@@ -96,11 +97,12 @@ def connect(
     for turn in range(rounds + 1):
         last = turn == rounds
         if not last:
-            choice = F.min_by(F.struct("node", "component", "sketch"), F.xxhash64("node", "key", F.lit(turn)))
+            choice = F.min_by(F.struct("node", "component", "sketch", "weight"), F.xxhash64("node", "key", F.lit(turn)))
             leader = active.groupBy("key").agg(choice.alias("leader"))
             pairs = attach(active, leader, "key").where("component <> leader.component")
             pairs = pairs.select(F.col("node").alias("x"), F.col("leader.node").alias("y"),
-                                 F.col("sketch").alias("s"), F.col("leader.sketch").alias("t")).where(near)
+                                 F.col("sketch").alias("s"), F.col("leader.sketch").alias("t"),
+                                 F.col("weight").alias("v"), F.col("leader.weight").alias("w")).where(near)
         else:
             few = active
             if block_links:
@@ -108,8 +110,8 @@ def connect(
                 active = attach(active, sizes, "key")
                 few, many = active.where(F.col("n") <= PAIRWISE), active.where(F.col("n") > PAIRWISE)
             other = few.select("key", F.col("node").alias("y"), F.col("component").alias("other"),
-                               F.col("sketch").alias("t"))
-            pairs = few.withColumnRenamed("sketch", "s").join(other, "key")
+                               F.col("sketch").alias("t"), F.col("weight").alias("w"))
+            pairs = few.withColumnRenamed("sketch", "s").withColumnRenamed("weight", "v").join(other, "key")
             pairs = pairs.where("node < y AND component <> other").where(near).select(F.col("node").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
