@@ -1,24 +1,14 @@
-"""Planar geometry over closed rings (``array<struct<x:double,y:double>>``).
-
-Measures of one ring are native expressions. Measures of two rings run on Arrow batches.
-"""
+"""Planar geometry over closed rings (``array<struct<x:double,y:double>>``), as native expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from citylake.functions import ring_pairs
 from citylake.functions.base import as_col, let
 
-# Ship the batch code with the query, so executors need no installed package.
-cloudpickle.register_pickle_by_value(ring_pairs)
-
 KM_PER_DEGREE = 111  # fixed value: degrees to kilometres
 TOLERANCE = 1e-9
 
@@ -99,41 +89,10 @@ def point_boundary(x: Column | str, y: Column | str, ring: Column | str) -> Colu
     )
 
 
-def _coordinates(ring: Column | str) -> list[Column]:
-    """Ring as two plain arrays, which Arrow hands to numpy without a copy per point."""
-    ring = as_col(ring)
-    return [F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])]
-
-
-def _on_pairs(a: Column | str, b: Column | str, dtype: T.DataType, measure: Callable) -> Column:
-    """Apply a batch measure to the rows that have both rings."""
-
-    def batch(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
-        known = ax.notna() & bx.notna()
-        out = pd.Series([None] * len(ax), dtype=object)
-        if known.any():
-            out[known.to_numpy()] = measure(*[list(v[known]) for v in (ax, ay, bx, by)])
-        return out
-
-    return F.pandas_udf(batch, dtype)(*_coordinates(a), *_coordinates(b))
-
-
-def boundary_distance(a: Column | str, b: Column | str) -> Column:
-    """Least distance between two rings' boundaries; zero where they meet.
-
-    Every edge is measured against every other, far too much for an interpreted lambda.
-    """
-    return _on_pairs(a, b, T.DoubleType(), ring_pairs.boundary_distances)
-
-
 def km_points(x1: Column | str, y1: Column | str, x2: Column | str, y2: Column | str) -> Column:
     return distance(as_col(x1), as_col(y1), as_col(x2), as_col(y2)) * KM_PER_DEGREE
 
 
-def km_polygons(a: Column | str, b: Column | str) -> Column:
-    return boundary_distance(a, b) * KM_PER_DEGREE
-
-
 def km_point_polygon(x: Column | str, y: Column | str, ring: Column | str) -> Column:
     return point_boundary(x, y, ring) * KM_PER_DEGREE
 
@@ -175,12 +134,3 @@ def centroid(ring: Column | str) -> Column:
             lambda sums: finish(sums, p),
         ),
     )
-
-
-def touches(a: Column | str, b: Column | str, eps: float = TOLERANCE) -> Column:
-    """Boundaries of two simple rings meet and their interiors do not."""
-
-    def measure(*rings):
-        return ring_pairs.touching(*rings, eps)
-
-    return F.coalesce(_on_pairs(a, b, T.BooleanType(), measure), F.lit(False))

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.functions import geometry as G
+from citylake.functions import shapes as S
 from citylake.operators.filters import is_known
 from citylake.operators.joins import lookup
 from citylake.operators.schema import named
+from citylake.operators.shapes import touching
 from citylake.session import materialise
 
 GRID_STEP = 2  # each finer place grid has cells 2**GRID_STEP times smaller
@@ -22,73 +24,6 @@ def _cell(value: Column, size: Column) -> Column:
     return F.floor(value / size).cast("long")
 
 
-def _cover(size: Column) -> Column:
-    """Grid cells of side ``size`` that the row's box meets."""
-
-    def span(low: str, high: str) -> Column:
-        return F.sequence(_cell(F.col(low), size), _cell(F.col(high), size))
-
-    return F.flatten(
-        F.transform(
-            span("x0", "x1"),
-            lambda cx: F.transform(
-                span("y0", "y1"), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy"))
-            ),
-        )
-    )
-
-
-def _candidates(shapes: DataFrame) -> DataFrame:
-    """Pairs of shapes whose boxes meet, each once.
-
-    A shape owns the grid level whose cells are just wider than its box, so it covers at most
-    four of them. It is matched on that level and on every coarser one in use: small shapes in a
-    dense area meet on fine cells and are not all paired through one big cell. A pair is emitted
-    only from the cell that holds the lower corner of the boxes' overlap, so no distinct follows.
-    """
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    boxes = shapes.withColumn(
-        "level", F.ceil(F.log2(F.greatest(side, F.lit(1e-12)))).cast("int")
-    )
-    # One small integer per power of two present in the data.
-    levels = sorted(r.level for r in boxes.select("level").distinct().collect())
-    fine = boxes.withColumn(
-        "at", F.explode(F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col("level")))
-    ).withColumn("size", F.pow(F.lit(2.0), F.col("at")))
-    coarse = boxes.withColumn("size", F.pow(F.lit(2.0), F.col("level")))
-    columns = ["shape", "level", "x0", "y0", "x1", "y1"]
-    left = fine.select("at", "size", *columns, F.explode(_cover(F.col("size"))).alias("c")).select(
-        F.col("at").alias("l_at"), F.col("size"), F.col("c.cx").alias("l_cx"),
-        F.col("c.cy").alias("l_cy"), *[F.col(c).alias(f"l_{c}") for c in columns],
-    )
-    right = coarse.select(*columns, F.explode(_cover(F.col("size"))).alias("c")).select(
-        F.col("c.cx").alias("r_cx"), F.col("c.cy").alias("r_cy"),
-        *[F.col(c).alias(f"r_{c}") for c in columns],
-    )
-    same_cell = (
-        (F.col("l_at") == F.col("r_level"))
-        & (F.col("l_cx") == F.col("r_cx"))
-        & (F.col("l_cy") == F.col("r_cy"))
-    )
-    boxes_meet = (
-        (F.col("l_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("l_x1"))
-        & (F.col("l_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("l_y1"))
-    )
-    once = (F.col("l_level") < F.col("r_level")) | (F.col("l_shape") < F.col("r_shape"))
-    here = (_cell(F.greatest("l_x0", "r_x0"), F.col("size")) == F.col("l_cx")) & (
-        _cell(F.greatest("l_y0", "r_y0"), F.col("size")) == F.col("l_cy")
-    )
-    return left.join(right, same_cell & boxes_meet & once & here).select(
-        F.col("l_shape").alias("shape_1"), F.col("r_shape").alias("shape_2")
-    )
-
-
-def closed_ring(ring: Column) -> Column:
-    """The ring with its first vertex repeated at the end."""
-    open_ = F.get(ring, F.lit(0)) != F.get(ring, F.size(ring) - 1)
-    return F.when(open_, F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
-
-
 def invalid_rings(polygons: DataFrame, code: str = "COD_POSTAL", ring: str = "ring") -> DataFrame:
     """Rows (code, problem) whose ring is missing or has fewer than three different vertices."""
     vertices = F.size(F.array_distinct(named(ring)))
@@ -102,48 +37,36 @@ def touching_pairs(
     ring: str = "ring",
     tolerance: float = G.TOLERANCE,
     with_distance: bool = False,
+    shape: str | None = None,
 ) -> DataFrame:
-    """All ordered pairs of rows whose polygons touch.
+    """All ordered pairs of rows whose polygons touch; with ``shape``, a column of shapes of several parts with holes.
 
     Rows with the same outline are reduced to one shape first and expanded last, so copies of a
     polygon are never paired with each other. Open rings are closed; ``invalid_rings`` reports the
     rows that have no area to touch.
     """
-    rows = polygons.select(named(code).alias("code"), closed_ring(named(ring)).alias("ring"))
-    rows = rows.where(F.size("ring") >= 4).withColumn("shape", F.sha2(F.to_json("ring"), 256))
+    outline = S.closed(shape if shape else S.shape_of_ring(named(ring)))
+    rows = polygons.select(named(code).alias("code"), outline.alias("shape")).where(F.size("shape") > 0)
+    rows = rows.withColumn("owner", F.sha2(F.to_json("shape"), 256))
     # Both are read several times below: written once, then scanned by column.
     rows = materialise(rows, "polygons")
-    shapes = materialise(rows.groupBy("shape").agg(F.any_value("ring").alias("ring")), "shapes")
-    boxed = shapes.withColumn("b", G.box("ring")).select(
-        "shape",
-        *[(F.col(f"b.{c}") - tolerance).alias(c) for c in ("x0", "y0")],
-        *[(F.col(f"b.{c}") + tolerance).alias(c) for c in ("x1", "y1")],
-    )
-    first = shapes.select(F.col("shape").alias("_first"), F.col("ring").alias("ring_1"))
-    second = shapes.select(F.col("shape").alias("_second"), F.col("ring").alias("ring_2"))
-    touching = (
-        _candidates(boxed)
-        .transform(lambda pairs: lookup(pairs, first, {"_first": F.col("shape_1")}, "inner"))
-        .transform(lambda pairs: lookup(pairs, second, {"_second": F.col("shape_2")}, "inner"))
-        .where(G.touches("ring_1", "ring_2", tolerance))
-    )
+    outlines = rows.groupBy("owner").agg(F.any_value("shape").alias("shape"))
+    outlines = materialise(outlines.select(F.lit("").alias("grp"), "owner", "shape", S.centroid("shape").alias("c")), "outlines")
+    pairs = touching(outlines, tolerance).select("a", "b")
     keep: list[Column] = []
     if with_distance:
-        touching = touching.withColumns(
-            {"c1": G.centroid("ring_1"), "c2": G.centroid("ring_2")}
-        ).withColumn(
-            "distance",
-            G.distance(F.col("c1.x"), F.col("c1.y"), F.col("c2.x"), F.col("c2.y")),
+        for side in ("a", "b"):
+            centre = outlines.select(F.col("owner").alias("_owner"), F.col("c").alias(f"c_{side}"))
+            pairs = lookup(pairs, centre, {"_owner": F.col(side)}, "inner").drop("_owner")
+        pairs = pairs.withColumn(
+            "distance", G.distance(F.col("c_a.x"), F.col("c_a.y"), F.col("c_b.x"), F.col("c_b.y"))
         )
         keep = [F.col("distance")]
-    ways = F.array(
-        F.struct(F.col("shape_1").alias("a"), F.col("shape_2").alias("b")),
-        F.struct(F.col("shape_2").alias("a"), F.col("shape_1").alias("b")),
-    )
-    directed = touching.select(F.explode(ways).alias("w"), *keep).select("w.a", "w.b", *keep)
-    members = rows.select("code", "shape")
-    left = members.select(F.col("shape").alias("a"), F.col("code").alias(f"{code}_1"))
-    right = members.select(F.col("shape").alias("b"), F.col("code").alias(f"{code}_2"))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    directed = pairs.select(F.explode(ways).alias("w"), *keep).select("w.a", "w.b", *keep)
+    members = rows.select("code", "owner")
+    left = members.select(F.col("owner").alias("a"), F.col("code").alias(f"{code}_1"))
+    right = members.select(F.col("owner").alias("b"), F.col("code").alias(f"{code}_2"))
     return directed.join(left, "a").join(right, "b").select(
         named(f"{code}_1"), named(f"{code}_2"), *keep
     )
@@ -154,9 +77,10 @@ def adjacency(
     code: str = "COD_POSTAL",
     ring: str = "ring",
     tolerance: float = G.TOLERANCE,
+    shape: str | None = None,
 ) -> DataFrame:
     """Touching pairs in both directions with the distance between centroids."""
-    return touching_pairs(polygons, code, ring, tolerance, with_distance=True)
+    return touching_pairs(polygons, code, ring, tolerance, with_distance=True, shape=shape)
 
 
 def _sites(places: DataFrame, lat: str, lon: str, values: Sequence[str]) -> DataFrame:
