@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citylake.catalog import query
 from citylake.operators import graph as N
-from citylake.session import table
+from citylake.session import scratch, table
 
 
 
@@ -94,3 +94,26 @@ def graph_feed(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey",
     )
     return N.graph_feed(rows)
+
+
+@query(
+    f"""
+    WITH {ZIP_SQL}
+    SELECT 'zip_nodes' AS name, z AS a, city AS b FROM zips
+    UNION ALL SELECT 'accommodation_nodes', c_custkey::VARCHAR, c_name FROM customer
+    UNION ALL SELECT 'located_in_edges', c_custkey::VARCHAR, z FROM customer JOIN zips ON c_nationkey::VARCHAR = z
+    """
+)
+def graph_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """A graph of other rows is built first and replaced as a whole; then all tables are read back."""
+    path = scratch(spark, "graph")
+    feed, zips = _feed(spark, folder), _zips(spark, folder)
+    for rows in (feed.where("property_id % 2 = 0").unionByName(feed), feed):
+        hotels = N.accommodation_nodes(rows)
+        N.build_graph({"located_in_edges": N.located_in(rows, hotels, zips), "zip_nodes": zips, "accommodation_nodes": hotels}, path)
+    keys = {"zip_nodes": ("ZIPCODE", "CITY"), "accommodation_nodes": ("ID", "NAME"), "located_in_edges": ("ID", "ZIPCODE")}
+    frames = [
+        spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("name"), F.col(a).alias("a"), F.col(b).alias("b"))
+        for name, (a, b) in keys.items()
+    ]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])

@@ -9,6 +9,7 @@ from citylake.catalog import query
 from citylake.functions.text import decode_text as decode
 from citylake.operators.filters import query_events
 from citylake.operators.incremental import ledger_read
+from citylake.operators.pages import in_link_order
 from citylake.operators.schema import apply_to, try_cast, union_all
 from citylake.session import scratch, table
 from citylake.sources import files
@@ -106,6 +107,45 @@ def scan_sources(spark: SparkSession, folder: str) -> DataFrame:
     return union_all(list(frames.values()))
 
 
+@query(
+    """
+    SELECT c_custkey::VARCHAR AS id, 'Muñoz ' || c_name AS name, 'madrid' AS city FROM customer
+    UNION ALL SELECT s_suppkey::VARCHAR, 'Niño ' || s_name, 'madrid' FROM supplier
+    """
+)
+def scan_mixed_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """One folder with UTF-8 and ISO-8859-1 files: each is decoded by itself."""
+    root = scratch(spark, "mixed")
+    for name, key, label, greeting, encoding in (
+        ("customer", "c_custkey", "c_name", "Muñoz ", "UTF-8"), ("supplier", "s_suppkey", "s_name", "Niño ", "ISO-8859-1"),
+    ):
+        rows = table(spark, folder, name).select(F.col(key).alias("id"), F.concat(F.lit(greeting), label).alias("name"))
+        rows.write.mode("append").options(header=True, sep=";", encoding=encoding).csv(root)
+    return files.scan_sources(spark, {"madrid": root})["madrid"]
+
+
+@query(
+    """
+    WITH p AS (SELECT c_custkey, c_custkey // 10 AS page FROM customer)
+    SELECT c_custkey AS id, CASE WHEN page < 7 THEN page WHEN page > 7 THEN page - 8 END AS page_no,
+      CASE WHEN page < 7 THEN 'page/0' WHEN page > 7 THEN 'page/8' END AS chain FROM p WHERE page <> 7
+    """
+)
+def pages_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of ten records in a ``data`` envelope, landed in any order; page 7 is missing, so page 8 begins a chain."""
+    path = scratch(spark, "pages")
+    rows = table(spark, folder, "customer").select("c_custkey", F.floor(F.col("c_custkey") / 10).alias("page"))
+    last = rows.agg(F.max("page")).first()[0]
+    link = lambda n: F.concat(F.lit("page/"), n.cast("string"))
+    pages = rows.groupBy("page").agg(F.collect_list(F.struct(F.col("c_custkey").alias("id"))).alias("data"))
+    following = F.when(F.col("page") < last, link(F.col("page") + 1))
+    landed = pages.where("page <> 7").select("data", F.struct(link(F.col("page")).alias("self"), following.alias("next")).alias("links"))
+    landed.repartition(4, F.xxhash64("data")).write.json(path)
+    schema = "data array<struct<id:bigint>>, links struct<self:string,next:string>"
+    read = files.scan_json(spark, path, schema, multiline=False).select("data", F.col("links.self").alias("self"), F.col("links.next").alias("next"))
+    return in_link_order(read, "self", "next").select(F.inline("data"), "page_no", "chain")
+
+
 @query("SELECT DISTINCT 'weather' AS data_type, 'city=' || event_type AS city FROM events")
 def list_zone(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "trusted_zone")

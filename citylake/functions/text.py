@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -250,8 +251,8 @@ def map_values(c: Column | str, mapping: Mapping[str, str]) -> Column:
 
 
 def any_keyword(text: Column, words: Sequence[str]) -> Column:
-    """Whether any word is a substring; one pattern, so a costly text is evaluated once."""
-    return text.rlike("|".join(rf"\Q{word}\E" for word in words)) if words else F.lit(False)
+    """Whether any word is a substring. The text is used once a word: hand in a column, not a costly expression."""
+    return reduce(lambda found, word: found | text.contains(word), words, F.lit(False))
 
 
 def decode_text(content: Column | str) -> Column:

@@ -80,7 +80,9 @@ def with_categories(
     keywords: Mapping[str, Sequence[str]] = CATEGORY_KEYWORDS,
 ) -> DataFrame:
     """One 0/1 column per label: any keyword is a substring of the lower-cased text."""
-    labelled = df.withColumn("_text", F.lower(F.concat_ws(" ", F.col(name), F.col(description))))
+    # A generated column is computed once, whatever the number of its uses.
+    text = F.lower(F.concat_ws(" ", F.col(name), F.col(description)))
+    labelled = df.withColumn("_text", F.explode(F.array(text)))
     flags = {
         label: F.when(any_keyword(F.col("_text"), words), 1).otherwise(0)
         for label, words in keywords.items()

@@ -92,18 +92,18 @@ def _sites(places: DataFrame, lat: str, lon: str, values: Sequence[str]) -> Data
 
 
 def _depth(sites: DataFrame, reach: float) -> int:
-    """Levels of refinement until no grid cell holds more than ``SITES_PER_CELL`` positions."""
-    for depth in range(MAX_DEPTH):
-        size = F.lit(reach / 2 ** (GRID_STEP * depth))
-        most = (
-            sites.groupBy(_cell(F.col("sx"), size), _cell(F.col("sy"), size))
-            .count()
-            .agg(F.max("count"))
-            .first()[0]
-        )
-        if not most or most <= SITES_PER_CELL:
-            return depth
-    return MAX_DEPTH
+    """Levels of refinement until no grid cell holds more than ``SITES_PER_CELL`` positions.
+
+    The cells of all levels are counted by one aggregate; a row for each level comes to the driver.
+    """
+    finest = F.lit(reach / 2 ** (GRID_STEP * MAX_DEPTH))
+    cells = [
+        F.struct(F.lit(d).alias("depth"), *[F.shiftright(_cell(F.col(f"s{c}"), finest), GRID_STEP * (MAX_DEPTH - d)).alias(c) for c in "xy"])
+        for d in range(MAX_DEPTH)
+    ]
+    counts = sites.select(F.explode(F.array(*cells)).alias("c")).groupBy("c.depth", "c.x", "c.y").count()
+    most = {r.depth: r.most for r in counts.groupBy("depth").agg(F.max("count").alias("most")).collect()}
+    return next((d for d in range(MAX_DEPTH) if most.get(d, 0) <= SITES_PER_CELL), MAX_DEPTH)
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, reach: float) -> DataFrame:

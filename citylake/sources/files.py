@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from citylake.functions.text import clean_line, decode_text
 from citylake.operators.dedupe import dedupe
 from citylake.operators.incremental import missing_vectors
 from citylake.operators.schema import named, tag, union_all
+from citylake.session import scratch
 
 DELIMITERS = [";", ",", "|", "\t"]  # fixed values: separators that are recognised
 SURPLUS = "_surplus"
@@ -104,10 +106,15 @@ def scan_clean_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(clean_line("line").alias("line"))
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 when every line is valid, else ISO-8859-1."""
-    broken = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)
-    return "UTF-8" if broken.isEmpty() else "ISO-8859-1"
+def encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by encoding: UTF-8 when every line is valid, else ISO-8859-1."""
+    lines = spark.read.text(path).select(
+        F.is_valid_utf8("value").alias("valid"), F.col("_metadata.file_path").alias("file")
+    )
+    files = lines.groupBy("file").agg(F.when(F.bool_and("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"))
+    # Names only: one row per file, as for the headers.
+    found = files.groupBy("encoding").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return {r.encoding: r.files for r in found.collect()}
 
 
 def scan_sources(
@@ -115,15 +122,16 @@ def scan_sources(
 ) -> dict[str, DataFrame]:
     """One tagged frame per city; a source that is missing or empty gives an empty frame.
 
-    The empty frame has the columns of the first good source. Unless given, each source's encoding
-    is found by reading it.
+    The empty frame has the columns of the first good source. Unless given, each file's encoding
+    is found by reading it, so a folder may hold files of both encodings.
     """
     frames: dict[str, DataFrame | None] = {}
     for city, path in sources.items():
         try:
-            known = encoding or encoding_of(spark, path)
-            rows = scan_csv(spark, path, encoding=known, multiline=multiline)
-            frames[city] = tag(rows, "city", city) if rows.columns else None
+            known = {encoding: path} if encoding else encodings(spark, path)
+            parts = [scan_csv(spark, of, encoding=name, multiline=multiline) for name, of in sorted(known.items())]
+            rows = union_all([p for p in parts if p.columns]) if any(p.columns for p in parts) else None
+            frames[city] = tag(rows, "city", city) if rows is not None else None
         except AnalysisException:
             frames[city] = None
     good = [f for f in frames.values() if f is not None]
@@ -134,12 +142,43 @@ def scan_sources(
     }
 
 
-def write_trusted(df: DataFrame, path: str, partition_by: str | None = None) -> bool:
-    """Replace a trusted Parquet table; an empty frame leaves it alone."""
-    if df.isEmpty():
-        return False
+def _staged(df: DataFrame, path: str, partition_by: str | None = None) -> bool:
+    """Write ``df`` once beside ``path``; whether it has rows. An empty result is dropped again.
+
+    The plan runs once: whether there are rows is seen on what was written.
+    """
     writer = df.write.mode("overwrite").option("compression", "snappy")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
+        _filesystem(df.sparkSession, path).delete(_path(df.sparkSession, path), True)
+        return False
+    return True
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in the place of another: two moves of names, no data."""
+    fs, old = _filesystem(spark, path), f"{path}-old-{uuid.uuid4().hex}"
+    kept = fs.exists(_path(spark, path)) and fs.rename(_path(spark, path), _path(spark, old))
+    if not fs.rename(_path(spark, staged), _path(spark, path)):
+        raise OSError(f"could not move {staged} to {path}")
+    if kept:
+        fs.delete(_path(spark, old), True)
+
+
+def write_trusted(df: DataFrame, path: str, partition_by: str | None = None) -> bool:
+    """Replace a trusted Parquet table; an empty frame leaves it alone. ``df`` may read the old table."""
+    staged = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    if not _staged(df, staged, partition_by):
+        return False
+    _swap(df.sparkSession, staged, path.rstrip("/"))
     return True
 
 
@@ -149,13 +188,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def replace_if_nonempty(df: DataFrame, table: str | None = None, path: str | None = None) -> bool:
     """Replace a result table, by name or path; an empty result keeps the old one."""
-    if df.isEmpty():
+    if path is not None:
+        return write_trusted(df, path)
+    spark = df.sparkSession
+    staged = scratch(spark, "result")
+    if not _staged(df, staged):
         return False
-    writer = df.write.mode("overwrite")
-    if table is not None:
-        writer.saveAsTable(table)
-    else:
-        writer.parquet(path)
+    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").saveAsTable(table)
+    _filesystem(spark, staged).delete(_path(spark, staged), True)
     return True
 
 
