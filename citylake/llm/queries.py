@@ -57,7 +57,7 @@ def _training_rows(spark: SparkSession, folder: str, label: str, parts: int, whi
 
 def _judged(scores: DataFrame, parts: int, which: int, threshold: float) -> DataFrame:
     return scores.select(
-        "doc_id", toxicity.held_out(F.col("doc_id"), parts, which).alias("held_out"), "score",
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id"), parts, which), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 

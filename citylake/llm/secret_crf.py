@@ -2,8 +2,10 @@
 
 Tokens are runs of key characters or of marks. Each token is tagged secret-begin (B), secret-inside (I)
 or outside (O) from its shape, its own and its neighbours' words and shapes, and features of its text.
-Weights are trained on windows around pattern matches and on windows without, from at most ``SAMPLE``
-texts each, whose matches are the labels. Decoding is exact Viterbi: a token whose O beats B and I by more than any
+Weights are trained on windows around values that the patterns find and on windows without, from at most
+``SAMPLE`` texts with matches and as many without, at most ``PLACES`` of each per text, drawn by hash. Half
+of the windows hide all words (a key word, a fixed prefix), so that shapes and the neighbours' shapes carry
+weight of their own and secrets are found that no pattern covers. Decoding is exact Viterbi: a token whose O beats B and I by more than any
 transitions can gain is O on every best path, so whole texts are decoded as the short runs in between.
 
 Pattern spans always stay; model spans that touch none of them are added as kind ``crf``. Spans count
@@ -15,15 +17,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citylake.llm.sampling import sample_texts
 from citylake.llm.wordhash import batches, mix
 
 #: Kinds in their order, with pattern and the least length of the last group (or of the match).
@@ -39,8 +43,12 @@ HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 B, I, O = 0, 1, 2
 BUCKETS = 1 << 16
-TEMPLATES = 10
+TEMPLATES = 12
+#: Templates that hold a word: hidden in half of the training windows.
+WORDS = (2, 3, 4, 5, 8)
+HIDDEN = -1
 SAMPLE = 1500
+PLACES = 4
 WINDOW = 15
 MIN_LENGTH = 8
 
@@ -60,6 +68,14 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def secret_values(text: str) -> list[tuple[int, int]]:
+    """Where the secrets themselves are in the matches: without the key word of an assignment."""
+    out = []
+    for start, end, kind in base_spans(text):
+        out.append(ASSIGN.match(text, start, end).span(2) if kind == "assign" else (start, end))
+    return out
+
+
 def written_spans(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
@@ -107,8 +123,12 @@ def tokens(texts: list[str]) -> Tokens:
     turns = np.concatenate(([0], np.cumsum(kind[1:] != kind[:-1]), [0]))
     turns = level(turns[end - 1] - turns[start], 5)
     shape = level(length, 7)
-    for mask in (kind == 1, kind == 2, kind == 3, (kind == 3) | ((code >= 97) & (code <= 102))):
-        shape = shape * 5 + share(mask)
+    rough = case = shape
+    for k, mask in enumerate((kind == 1, kind == 2, kind == 3, (kind == 3) | ((code >= 97) & (code <= 102)))):
+        part = share(mask)
+        shape = shape * 5 + part
+        case = case * 2 + (part > 0) if k < 3 else case
+    rough = (rough * 6 + turns) * 2 + case % 2  # the last class of ``case`` is digits
     shape = (shape * 6 + turns) * 3 + group[start]
     low = np.where((code >= 65) & (code <= 90), code + 32, code).astype(np.uint64)
     place = np.minimum(np.arange(len(code)) - np.repeat(start_of_run(change), np.diff(edge)), 1 << 20)
@@ -132,7 +152,8 @@ def tokens(texts: list[str]) -> Tokens:
 
     shape = shape.astype(np.uint64)
     columns = [np.zeros_like(shape), shape, word, near(word, 1), near(word, 2), near(word, -1),
-               near(shape, 1), near(shape, -1), mix(near(word, 1)) ^ shape, mix(file.astype(np.uint64)) ^ level(length, 7).astype(np.uint64)]
+               near(shape, 1), near(shape, -1), mix(near(word, 1)) ^ shape, mix(file.astype(np.uint64)) ^ level(length, 7).astype(np.uint64),
+               rough.astype(np.uint64), case.astype(np.uint64)]
     feature = np.stack([mix(c ^ s) & np.uint64(BUCKETS - 1) for c, s in zip(columns, _SALT)], axis=1)
     return Tokens(start, end, first, feature.astype(np.int64))
 
@@ -141,17 +162,38 @@ def start_of_run(change: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)[:-1]
 
 
-def labels(found: Tokens, row: int, offset: int, spans: list[Span]) -> np.ndarray:
-    """Tags of one text's tokens from the values in its spans."""
+def labels(found: Tokens, row: int, offset: int, values: list[tuple[int, int]]) -> np.ndarray:
+    """Tags of one text's tokens from the secret values in it."""
     a, b = found.first[row], found.first[row + 1]
     tag = np.full(b - a, O)
-    for start, end, _ in spans:
-        inside = np.flatnonzero((found.start[a:b] < end + offset) & (found.end[a:b] > start + offset))
-        tag[inside] = I
-        tag[inside[:1]] = B
+    if values:
+        place = np.array(values) + offset
+        for lo, hi in zip(
+            np.searchsorted(found.end[a:b], place[:, 0], "right").tolist(),
+            np.searchsorted(found.start[a:b], place[:, 1], "left").tolist(),
+        ):
+            tag[lo:hi] = I
+            tag[lo : min(lo + 1, hi)] = B
     return tag
 
 
+def _sampled(df: DataFrame, limit: int) -> DataFrame:
+    """``text`` of at most ``limit`` different texts with a match and as many without, by least hashes.
+
+    One pass hashes the texts and looks for matches; the second keeps what lies below the two last hashes.
+    """
+    match = F.col("text").rlike(f"{ASSIGN.pattern}|AKIA[A-Z0-9]{{14}}|[0-9a-f]{{16}}")
+    hashed = df.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h"))
+    least = Window.partitionBy("match").orderBy("h")
+    ranked = hashed.select("h", match.alias("match")).distinct().withColumn("n", F.row_number().over(least))
+    last = {r.match: r.h for r in ranked.where(F.col("n") <= limit).groupBy("match").agg(F.max("h").alias("h")).collect()}
+    chosen = F.lit(False)
+    for found, test in ((True, match), (False, ~match)):
+        if found in last:
+            chosen = chosen | ((F.col("h") <= last[found]) & test)
+    return hashed.where(chosen).dropDuplicates(["h"]).orderBy("h").select("text")
+
+
 class Model(NamedTuple):
     weight: np.ndarray  # BUCKETS x 3
     transition: np.ndarray  # 3 x 3, from row to column
@@ -168,17 +210,21 @@ def training_windows(df: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]
                 found, offset = tokens(texts), 0
                 rows, tags = [], []
                 for d, text in enumerate(texts):
-                    spans = base_spans(text)
-                    tag = labels(found, d, offset, spans)
+                    tag = labels(found, d, offset, secret_values(text))
                     offset += len(text)
                     if not len(tag):
                         continue
-                    centres = [*np.flatnonzero(tag == B)[:4].tolist(), len(tag) // 3, 2 * len(tag) // 3]
-                    for centre in centres:
+                    draw = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+                    begins = np.flatnonzero(tag == B)
+                    centres = [*draw.permutation(begins)[:PLACES], *draw.integers(0, len(tag), PLACES)]
+                    for n, centre in enumerate(centres):
                         at = centre - WINDOW + np.arange(wide)
                         inside = (at >= 0) & (at < len(tag))
                         at = np.clip(at, 0, len(tag) - 1)
-                        rows.append(found.feature[found.first[d] + at])
+                        feature = found.feature[found.first[d] + at]
+                        if (n + len(begins)) % 2:
+                            feature[:, WORDS] = HIDDEN
+                        rows.append(feature)
                         tags.append(np.where(inside, tag[at], -1))
                 if rows:
                     flat = pa.array(np.concatenate(rows).ravel(), pa.int32())
@@ -189,11 +235,7 @@ def training_windows(df: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]
                         [pa.ListArray.from_arrays(offsets, flat), pa.ListArray.from_arrays(steps, tag)], names=["f", "t"]
                     )
 
-    hint = F.col("text").rlike(f"{ASSIGN.pattern}|AKIA[A-Z0-9]{{14}}|[0-9a-f]{{16}}")
-    texts = df.where("text IS NOT NULL").select("text").withColumn("hint", hint)
-    some = [sample_texts(texts.where(F.col("hint") == has), limit).dropDuplicates(["h"]) for has in (True, False)]
-    some = some[0].union(some[1]).orderBy("h").select("text")
-    found = some.mapInArrow(run, "f array<int>, t array<int>").toPandas()
+    found = _sampled(df, limit).mapInArrow(run, "f array<int>, t array<int>").toPandas()
     if not len(found):
         return np.zeros((0, wide, TEMPLATES), np.int64), np.zeros((0, wide), np.int64)
     return np.stack(found["f"]).reshape(-1, wide, TEMPLATES), np.stack(found["t"]).reshape(-1, wide)
@@ -240,8 +282,9 @@ def fit(feature: np.ndarray, tag: np.ndarray, rounds: int = 80) -> Model | None:
             square += 0.001 * slope**2
             changes.append(0.1 * (moment / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8))
         weight, transition = weight - changes[0], transition - changes[1]
+        weight[names == HIDDEN] = 0  # a hidden word says nothing
     full = np.zeros((BUCKETS, 3), np.float32)
-    full[names] = weight
+    full[names[names != HIDDEN]] = weight[names != HIDDEN]
     # Unseen features say nothing; a token of them alone falls back on the bias template.
     return Model(full, transition.astype(np.float32))
 
@@ -293,9 +336,9 @@ def model_spans(found: Tokens, tag: np.ndarray, row: int, offset: int, taken: li
             out[-1][1:] = [int(found.end[t]) - offset, t]
         else:
             out.append([int(found.start[t]) - offset, int(found.end[t]) - offset, t])
-    return [
-        (s, e, "crf") for s, e, _ in out if e - s >= MIN_LENGTH and not any(s < y and e > x for x, y, _ in taken)
-    ]
+    begins = [x for x, _, _ in taken]
+    reach = [0, *accumulate((y for _, y, _ in taken), max)]  # the farthest end among the first spans
+    return [(s, e, "crf") for s, e, _ in out if e - s >= MIN_LENGTH and reach[bisect_left(begins, e)] <= s]
 
 
 SPANS = (
