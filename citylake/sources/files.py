@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from citylake.session import scratch
 
 DELIMITERS = [";", ",", "|", "\t"]  # fixed values: separators that are recognised
 SURPLUS = "_surplus"
+FETCH_BYTES = 32 * 1024 * 1024  # contents held by a task before they are passed on
 
 
 def sniff_delimiter(header: str) -> str:
@@ -222,14 +224,69 @@ def list_zone(spark: SparkSession, root: str, data_type: str | None = None) -> D
     return files.where(F.col("data_type") == data_type) if data_type else files
 
 
+def _opened(path: str):
+    """File system and plain path of a lake path, as the listing writes it (unescaped)."""
+    from pyarrow import fs
+
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    authority, _, name = rest.removeprefix("//").partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, f"{base.rstrip('/')}/{name}"
+
+
+def fetch_contents(paths: DataFrame, path: str = "path", out: str = "content") -> DataFrame:
+    """``paths`` with the bytes of each named file, opened one by one in the tasks; null for a null path."""
+    names = paths.columns
+    schema = T.StructType([*paths.schema.fields, T.StructField(out, T.BinaryType())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            held, size, begin = [], 0, 0
+            for n, name in enumerate(batch.column(names.index(path)).to_pylist()):
+                if name is None:
+                    held.append(None)
+                else:
+                    system, plain = _opened(name)
+                    with system.open_input_file(plain) as file:
+                        held.append(file.read())
+                    size += len(held[-1])
+                if size >= FETCH_BYTES or n + 1 == batch.num_rows:
+                    columns = [c.slice(begin, len(held)) for c in batch.columns]
+                    yield pa.record_batch([*columns, pa.array(held, pa.binary())], names=[*names, out])
+                    held, size, begin = [], 0, n + 1
+
+    return paths.mapInArrow(run, schema)
+
+
+def write_contents(df: DataFrame, root: str, name: str = "name", content: str = "content") -> DataFrame:
+    """One file below ``root`` per row; the rows written, as (path, length). A task that runs again writes the same."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            written = []
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, plain = _opened(f"{root}/{file}")
+                system.create_dir(plain.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(plain) as stream:
+                    stream.write(data or b"")
+                written.append((f"{root}/{file}", len(data or b"")))
+            columns = zip(*written) if written else ([], [])
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64()))], names=["path", "length"])
+
+    return df.select(name, content).mapInArrow(run, "path string, length bigint")
+
+
 def assets_table(spark: SparkSession, path: str, stored: DataFrame | None = None) -> DataFrame:
-    """Binary files as (id = file stem, image_bytes), added to ``stored`` where absent."""
+    """Binary files as (id = file stem, image_bytes), added to ``stored`` where absent.
+
+    Winners (the least path of an id) are chosen on names alone; then contents are opened for them only.
+    Files without a byte are not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    # Winners are chosen on names alone; contents are read for them only.
-    names = files.select(file_stem(F.col("path")).alias("id"), "path")
-    winners = dedupe(names, ["id"], ["path"])
+    winners = dedupe(files.select(file_stem(F.col("path")).alias("id"), "path"), ["id"], ["path"])
     if stored is not None:
         winners = missing_vectors(winners, stored)
-    chosen = winners.select("id", F.col("path").alias("_path"))
-    added = files.join(chosen, F.col("path") == F.col("_path")).select("id", F.col("content").alias("image_bytes"))
+    added = fetch_contents(winners.select("id", "path"), out="image_bytes").select("id", "image_bytes")
     return added if stored is None else stored.unionByName(added)

@@ -106,6 +106,27 @@ def test_lake_listing_and_assets(spark, tmp_path):
     assert spark.range(1).select(sha256(F.lit("u"))).first()[0]
 
 
+def test_only_winners_are_opened(spark, tmp_path):
+    """The scan lists names without contents, and a file that loses is never opened."""
+    put(tmp_path / "Paris" / "a b%20ü.jpg", b"first")
+    put(tmp_path / "Rome" / "a b%20ü.png", b"second")
+    put(tmp_path / "Rome" / "empty.png", b"")
+    assets = files.assets_table(spark, str(tmp_path))
+    scan = assets._jdf.queryExecution().executedPlan().toString()
+    assert "content#" not in scan and "image_bytes" in scan
+    (tmp_path / "Rome" / "a b%20ü.png").unlink()
+    (tmp_path / "Rome" / "a b%20ü.png").mkdir()  # to open it would fail
+    assert rows(assets.select("id", F.decode("image_bytes", "UTF-8"))) == [("a b%20ü", "first")]
+
+
+def test_written_contents(spark, tmp_path):
+    df = spark.createDataFrame([("x/1.bin", bytearray(b"12")), ("2.bin", None)], "name string, content binary")
+    done = rows(files.write_contents(df, str(tmp_path)))
+    assert [length for _, length in done] == [0, 2] and (tmp_path / "x" / "1.bin").read_bytes() == b"12"
+    asked = spark.createDataFrame([(done[1][0], 1), (None, 2)], "path string, n int")
+    assert {r.n: r.content and bytes(r.content) for r in files.fetch_contents(asked).collect()} == {1: b"12", 2: None}
+
+
 def hour_document(n):
     return json.dumps({"hourly": {"time": [f"2024-07-05T{h:02}:00" for h in range(n)], "rain": [0.5] * n}})
 

@@ -64,3 +64,47 @@ def test_only_new_images_are_added(spark):
     pixels = spark.createDataFrame([("a", [255]), ("b", [0]), ("b", [0])], "id string, pixels array<int>")
     got = {r.id: r.embedding for r in add_image_vectors(store, pixels).collect()}
     assert got == {"a": [9.0], "b": [0.0]}
+
+
+def _brute(data, asked, k):
+    out = set()
+    for i, q in enumerate(asked):
+        gaps = np.sqrt(((data - q) ** 2).sum(axis=1))
+        order = sorted(range(len(data)), key=lambda j: (gaps[j], j))[:k]
+        out |= {(i, rank + 1, j, round(float(gaps[j]), 9)) for rank, j in enumerate(order)}
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [100_000, 4000])
+def test_topk_prunes_by_pivots(spark, block_bytes):
+    """Clustered rows, a third of them copies of one: equal to brute force with few rows compared."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 8)) * 50
+    data = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 8))
+    data[::3] = data[0]
+    asked = np.concatenate([data[1:40:2], rng.normal(size=(5, 8)) * 50])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id int, query array<double>")
+    compared = spark.sparkContext.accumulator(0)
+    got = V.l2_topk(df, queries, 7, block_bytes=block_bytes, compared=compared).collect()
+    assert {(r.query_id, r["rank"], r.id, round(r.distance, 9)) for r in got} == _brute(data, asked, 7)
+    assert compared.value < 0.2 * len(data) * len(asked)
+
+
+def test_topk_edges(spark):
+    """Null and empty vectors, values that are no number, fewer rows than asked for, few pivots of many widths."""
+    nan = float("nan")
+    rows = [(1, [0.0, 0.0]), (2, [nan, 1.0]), (3, None), (4, []), (5, [3.0, 4.0]), (6, [1.0]), (7, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    queries = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [2.0]), ("c", None)], "query_id string, query array<double>")
+    for pivot_bytes, block_bytes in ((V.PIVOT_BYTES, 1), (8, 1), (8, V.BLOCK_BYTES)):
+        got = V.l2_topk(df, queries, 2, pivot_bytes=pivot_bytes, block_bytes=block_bytes).collect()
+        assert sorted((r.query_id, r["rank"], r.id) for r in got) == [("a", 1, 1), ("a", 2, 5), ("b", 1, 6)]
+    got = V.l2_topk(df, queries, 5, block_bytes=1).where("query_id = 'a'").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == [1, 5, 2]
+
+
+def test_topk_of_no_rows(spark):
+    df = spark.createDataFrame([], "id long, embedding array<double>")
+    queries = spark.createDataFrame([("a", [0.0])], "query_id string, query array<double>")
+    assert V.l2_topk(df, queries, 2).count() == 0
