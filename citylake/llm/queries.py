@@ -138,5 +138,6 @@ def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+ORACLES["op2_minhash_dedup"] = sql.NEAR_DUPLICATES
 ORACLES["op11_merkle_manifest"] = sql.MERKLE
 ORACLES["op12_conversation_repair"] = sql.CONVERSATIONS

@@ -172,3 +172,35 @@ FROM audits a LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
 
 
 CONVERSATIONS = _conversations()
+
+
+#: All pairs that share a shingle, links by exact set sizes, components by the least document reached.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) >= 2 THEN list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+    ELSE words END AS shingles FROM w
+),
+sets AS (
+  SELECT list_sort(shingles) AS shingles, min(doc_id) AS node, len(any_value(shingles)) AS n FROM s WHERE len(shingles) > 0 GROUP BY 1
+),
+e AS (SELECT node, n, unnest(shingles) AS shingle FROM sets),
+pairs AS (
+  SELECT a.node AS x, b.node AS y FROM e a JOIN e b USING (shingle)
+  WHERE a.node < b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (
+  SELECT node AS doc, node AS least FROM sets
+  UNION
+  SELECT l.y, r.least FROM reach r JOIN links l ON l.x = r.doc WHERE r.least < l.y
+),
+component AS (SELECT doc AS node, min(least) AS component_id FROM reach GROUP BY doc)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(c.component_id, s.doc_id) AS component_id,
+  s.doc_id = coalesce(c.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN sets t ON t.shingles = list_sort(s.shingles) LEFT JOIN component c ON c.node = t.node
+"""
