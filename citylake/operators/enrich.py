@@ -11,6 +11,7 @@ from citylake.functions.base import as_col, strip
 from citylake.operators.dedupe import dedupe
 from citylake.operators.joins import lookup
 from citylake.operators.schema import named
+from citylake.session import materialise
 
 
 def translate(
@@ -23,8 +24,9 @@ def translate(
     """Replace values found in a (source, target) table; null, blank and unknown values stay.
 
     The dictionary is reduced to one row per source and pre-filtered, so the join never adds
-    rows. No broadcast hint: Spark broadcasts it below its size threshold and otherwise
-    shuffles, where a value that dominates the column is split.
+    rows. It is written once, so Spark knows its size before it plans the joins: it broadcasts a
+    dictionary below its size threshold without a shuffle of ``df``, whose few values would each
+    go to one task, and otherwise shuffles, where a value that dominates the column is split.
     """
     if dictionary is None or not cols:
         return df
@@ -34,6 +36,7 @@ def translate(
         ),
         ["_source"],
     )
+    entries = materialise(entries, "dictionary")
     order = df.columns
     for name in cols:
         key = F.when(strip(named(name)) != "", named(name))

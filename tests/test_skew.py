@@ -99,3 +99,12 @@ def test_lookup_mixed_types(spark):
     zero = spark.createDataFrame([(0.0,)], "x double")
     minus = spark.createDataFrame([(-0.0,)], "y double")
     assert lookup(zero, minus, {"y": F.col("x")}, "inner").count() == 1
+
+
+def test_translate_by_a_small_dictionary_shuffles_no_rows(spark):
+    """Rows of few values stay where they are read; a shuffle would send each value to one task."""
+    df = hot(spark).withColumn("k", F.when(F.col("id") % 3 < 2, "hot").otherwise(" "))
+    words = spark.createDataFrame([("hot", "warm"), ("hot", "warm"), ("cold", None)], "source string, target string")
+    out = enrich.translate(df, ["k"], words)
+    assert "hashpartitioning(_left_hash" not in plan_after(out)
+    assert {tuple(r) for r in out.groupBy("k").count().collect()} == {("warm", 26_667), (" ", 13_333)}
