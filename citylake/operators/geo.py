@@ -47,29 +47,24 @@ def touching_pairs(
     """
     outline = S.closed(shape if shape else S.shape_of_ring(named(ring)))
     rows = polygons.select(named(code).alias("code"), outline.alias("shape")).where(F.size("shape") > 0)
-    rows = rows.withColumn("owner", F.sha2(F.to_json("shape"), 256))
+    rows = rows.withColumn("outline", F.unhex(F.sha2(F.to_json("shape"), 256)))
     # Both are read several times below: written once, then scanned by column.
     rows = materialise(rows, "polygons")
-    outlines = rows.groupBy("owner").agg(F.any_value("shape").alias("shape"))
-    outlines = materialise(outlines.select(F.lit("").alias("grp"), "owner", "shape", S.centroid("shape").alias("c")), "outlines")
-    pairs = touching(outlines, tolerance).select("a", "b")
-    keep: list[Column] = []
-    if with_distance:
-        for side in ("a", "b"):
-            centre = outlines.select(F.col("owner").alias("_owner"), F.col("c").alias(f"c_{side}"))
-            pairs = lookup(pairs, centre, {"_owner": F.col(side)}, "inner").drop("_owner")
-        pairs = pairs.withColumn(
-            "distance", G.distance(F.col("c_a.x"), F.col("c_a.y"), F.col("c_b.x"), F.col("c_b.y"))
-        )
-        keep = [F.col("distance")]
+    outlines = rows.groupBy("outline").agg(F.any_value("shape").alias("shape"))
+    # Numbers are a quarter as long as digests, and each pair of edges carries two; they are fixed by writing them.
+    outlines = outlines.select(F.lit(0).alias("grp"), F.monotonically_increasing_id().alias("owner"), "outline", "shape")
+    outlines = materialise(outlines.withColumn("c", S.centroid("shape")), "outlines")
+    pairs = touching(outlines.select("grp", "owner", "shape"), tolerance).select("a", "b")
     ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    directed = pairs.select(F.explode(ways).alias("w"), *keep).select("w.a", "w.b", *keep)
-    members = rows.select("code", "owner")
-    left = members.select(F.col("owner").alias("a"), F.col("code").alias(f"{code}_1"))
-    right = members.select(F.col("owner").alias("b"), F.col("code").alias(f"{code}_2"))
-    return directed.join(left, "a").join(right, "b").select(
-        named(f"{code}_1"), named(f"{code}_2"), *keep
-    )
+    directed = pairs.select(F.explode(ways).alias("w")).select("w.a", "w.b")
+    known = outlines.select(F.col("outline").alias("_outline"), "owner", "c")
+    members = lookup(rows.select("code", "outline"), known, {"_outline": F.col("outline")}, "inner").select("owner", "code", "c")
+    members = materialise(members, "members")
+    for side, name in (("a", f"{code}_1"), ("b", f"{code}_2")):
+        own = members.select(F.col("owner").alias(side), F.col("code").alias(name), *([F.col("c").alias(f"c_{side}")] if with_distance else []))
+        directed = directed.join(own, side)
+    keep = [G.distance(F.col("c_a.x"), F.col("c_a.y"), F.col("c_b.x"), F.col("c_b.y")).alias("distance")] if with_distance else []
+    return directed.select(named(f"{code}_1"), named(f"{code}_2"), *keep)
 
 
 def adjacency(

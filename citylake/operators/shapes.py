@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from citylake.operators.joins import lookup
 from citylake.operators.schema import named
 from citylake.session import materialise
 
+#: An edge as it is shuffled and written.
+ENDS = ("x1", "y1", "x2", "y2")
 #: Fewest edges of a chunk; larger shapes have chunks of the root of their edges.
 CHUNK = 16
 
@@ -19,11 +24,17 @@ def _cell(value: Column, size: Column) -> Column:
     return F.floor(value / size).cast("long")
 
 
-def _cover(size: Column) -> Column:
-    """Grid cells of side ``size`` that the row's box meets."""
+def _box(ends: S.Edge, eps: float) -> S.Edge:
+    """Corners of an edge's box, widened by ``eps``."""
+    low = {f"{c}0": F.least(ends[f"{c}1"], ends[f"{c}2"]) - eps for c in "xy"}
+    return {**low, **{f"{c}9": F.greatest(ends[f"{c}1"], ends[f"{c}2"]) + eps for c in "xy"}}
+
+
+def _cover(box: S.Edge, size: Column) -> Column:
+    """Grid cells of side ``size`` that a box meets."""
 
     def span(low: str, high: str) -> Column:
-        return F.sequence(_cell(F.col(low), size), _cell(F.col(high), size))
+        return F.sequence(_cell(box[low], size), _cell(box[high], size))
 
     return F.flatten(
         F.transform(
@@ -33,45 +44,56 @@ def _cover(size: Column) -> Column:
     )
 
 
-def meeting_boxes(boxes: DataFrame, keep: list[str]) -> DataFrame:
-    """Pairs of rows of one ``grp`` and different ``owner`` whose boxes (``x0``, ``y0``, ``x9``, ``y9``) meet, each once.
+def meeting_edges(edges: DataFrame, eps: float) -> DataFrame:
+    """Pairs of edges (``grp``, ``owner``, ``no`` and ends) of one ``grp`` and different ``owner`` whose boxes meet, each once.
 
     ``l_`` and ``r_`` columns, the lesser owner left. A box owns the grid level whose cells are just wider than
     it, so it covers at most four of them. It is matched on that level and on every coarser one in use:
     small boxes in a dense area meet on fine cells and are not all paired through one big cell. A pair is emitted
-    only from the cell that holds the lower corner of the boxes' overlap, so no distinct follows.
+    only from the cell that holds the lower corner of the boxes' overlap, so no distinct follows. Edges of one
+    level meet in a self-join of one shuffle; only ends are shuffled, boxes follow from them.
     """
-    side = F.greatest(F.col("x9") - F.col("x0"), F.col("y9") - F.col("y0"))
-    boxes = boxes.withColumn("level", F.ceil(F.log2(F.greatest(side, F.lit(1e-12)))).cast("int"))
+    box = _box(_ends(""), eps)
+    side = F.greatest(box["x9"] - box["x0"], box["y9"] - box["y0"])
+    edges = edges.withColumn("level", F.ceil(F.log2(F.greatest(side, F.lit(1e-12)))).cast("int"))
     # One small integer per power of two present in the data.
-    levels = sorted(r.level for r in boxes.select("level").distinct().collect())
-    columns = ["grp", "owner", "x0", "y0", "x9", "y9", "level", *keep]
-    row = F.struct(*columns)
-    fine = boxes.withColumn("at", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda v: v >= F.col("level"))))
-    fine = fine.withColumn("size", F.pow(F.lit(2.0), F.col("at")))
-    coarse = boxes.withColumn("size", F.pow(F.lit(2.0), F.col("level")))
-    left = fine.select(F.col("grp").alias("l_grp"), "at", "size", row.alias("l"), F.explode(_cover(F.col("size"))).alias("lc"))
-    right = coarse.select(F.col("grp").alias("r_grp"), row.alias("r"), F.explode(_cover(F.col("size"))).alias("rc"))
-    l, r = F.col("l"), F.col("r")
-    same_cell = (
-        (F.col("l_grp") == F.col("r_grp")) & (F.col("at") == r["level"])
-        & (F.col("lc.cx") == F.col("rc.cx")) & (F.col("lc.cy") == F.col("rc.cy"))
-    )
-    meet = (l["x0"] <= r["x9"]) & (r["x0"] <= l["x9"]) & (l["y0"] <= r["y9"]) & (r["y0"] <= l["y9"])
-    once = (l["owner"] != r["owner"]) & ((l["level"] < r["level"]) | (l["owner"] < r["owner"]))
-    here = (_cell(F.greatest(l["x0"], r["x0"]), F.col("size")) == F.col("lc.cx")) & (
-        _cell(F.greatest(l["y0"], r["y0"]), F.col("size")) == F.col("lc.cy")
-    )
-    pairs = left.join(right, same_cell & meet & once & here)
-    ordered = l["owner"] < r["owner"]
-    pairs = pairs.select(F.when(ordered, l).otherwise(r).alias("l"), F.when(ordered, r).otherwise(l).alias("r"))
-    return pairs.select(
-        F.col("l.grp").alias("grp"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "lr" for c in ["owner", *keep]]
-    )
+    levels = sorted(r.level for r in edges.select("level").distinct().collect() if r.level is not None)
+    columns = ["owner", "no", *ENDS]
+
+    def placed(rows: DataFrame, at: Column) -> DataFrame:
+        rows = rows.select("grp", *columns, at.alias("at"))
+        rows = rows.select("*", F.explode(_cover(box, F.pow(F.lit(2.0), F.col("at")))).alias("c"))
+        return rows.select("grp", "at", "c.cx", "c.cy", *columns)
 
+    own = placed(edges, F.col("level"))
 
-def _ends(prefix: str) -> dict[str, Column]:
-    return {c: F.col(prefix + c) for c in S.EDGE}
+    def met(left: DataFrame, once: Column) -> DataFrame:
+        l, r = _box(_ends("l."), eps), _box(_ends("r."), eps)
+        size = F.pow(F.lit(2.0), F.col("l.at"))
+        cell = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("grp", "at", "cx", "cy")]
+        meet = [(l[f"{c}0"] <= r[f"{c}9"]) & (r[f"{c}0"] <= l[f"{c}9"]) for c in "xy"]
+        here = [_cell(F.greatest(l[f"{c}0"], r[f"{c}0"]), size) == F.col(f"l.c{c}") for c in "xy"]
+        pairs = left.alias("l").join(own.alias("r"), reduce(and_, [*cell, *meet, *here, once]))
+        ordered = F.col("l.owner") < F.col("r.owner")
+        sides = [F.when(ordered, F.col(f"{s}.{c}")).otherwise(F.col(f"{t}.{c}")).alias(f"{s}_{c}") for s, t in ("lr", "rl") for c in columns]
+        return pairs.select(F.col("l.grp").alias("grp"), *sides)
+
+    pairs = met(own, F.col("l.owner") < F.col("r.owner"))
+    if len(levels) > 1:
+        coarser = F.explode(F.filter(F.array(*map(F.lit, levels)), lambda v: v > F.col("level")))
+        pairs = pairs.unionByName(met(placed(edges, coarser), F.col("l.owner") != F.col("r.owner")))
+    return pairs
+
+
+def _ends(prefix: str) -> S.Edge:
+    return {c: F.col(prefix + c) for c in ENDS}
+
+
+def _edge(prefix: str) -> S.Edge:
+    """An edge with its direction and squared length, from its ends."""
+    e = _ends(prefix)
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    return {**e, "dx": dx, "dy": dy, "l2": dx * dx + dy * dy}
 
 
 def touching(shapes: DataFrame, eps: float = G.TOLERANCE) -> DataFrame:
@@ -80,15 +102,12 @@ def touching(shapes: DataFrame, eps: float = G.TOLERANCE) -> DataFrame:
     Boundaries meet and interiors do not. Edges meet on a grid. A crossing settles a pair; for the others, points that
     would be inside if interiors met are tested against the other shape: the middles of the pieces into which
     meeting edges are cut, a vertex of each ring, an inner point of each part. A shape's edges are cut
-    into strips for that, so a point meets only the edges beside it.
+    into strips for that, so a point meets only the edges beside it. ``shapes`` is read several times: give a written
+    table, and short owners, since each met edge is written with them.
     """
-    shapes = materialise(shapes.select("grp", "owner", S.closed("shape").alias("shape")).where(F.size("shape") > 0), "shapes")
-    edges = shapes.select("grp", "owner", F.posexplode(S.edges("shape")).alias("no", "e")).select("grp", "owner", "no", *[f"e.{c}" for c in S.EDGE])
-    boxed = edges.select(
-        "*", *[(F.least(f"{c}1", f"{c}2") - eps).alias(f"{c}0") for c in "xy"], *[(F.greatest(f"{c}1", f"{c}2") + eps).alias(f"{c}9") for c in "xy"]
-    )
-    near = meeting_boxes(boxed, ["no", *S.EDGE])
-    near = near.withColumn("is", S.edge_pair(_ends("l_"), _ends("r_"), eps))
+    shapes = shapes.select("grp", "owner", S.closed("shape").alias("shape")).where(F.size("shape") > 0)
+    edges = shapes.select("grp", "owner", F.posexplode(S.edges("shape")).alias("no", "e")).select("grp", "owner", "no", *[f"e.{c}" for c in ENDS])
+    near = meeting_edges(edges, eps).withColumn("is", S.edge_pair(_ends("l_"), _ends("r_"), eps))
     near = near.where((F.col("is.gap2") <= eps * eps) | F.col("is.cross")).withColumn("cross", F.col("is.cross"))
     met = materialise(near.drop("is"), "meeting")
     pairs = met.groupBy("grp", "l_owner", "r_owner").agg(F.bool_or("cross").alias("cross")).where("NOT cross")
@@ -107,30 +126,37 @@ def touching(shapes: DataFrame, eps: float = G.TOLERANCE) -> DataFrame:
     open_ = lookup(pairs, side("p"), of("a"), "inner").drop("_grp", "_owner")
     open_ = lookup(open_, side("q"), of("b"), "inner").drop("_grp", "_owner")
     open_ = open_.where("p.x1 > q.x0 AND q.x1 > p.x0 AND p.y1 > q.y0 AND q.y1 > p.y0").select("grp", "a", "b")
-    open_ = materialise(both_ways(open_), "open")
-
+    once = materialise(open_, "open")
+    open_ = both_ways(once)
+    wanted = materialise(open_.select("grp", F.col("a").alias("owner")).distinct(), "open-owners")
+
+    # The edges of open pairs are cut; most pairs are settled by their boxes.
+    left = [F.col("l_owner") == F.col("a"), F.col("r_owner") == F.col("b")]
+    mine = once.withColumnRenamed("grp", "_grp")
+    met = met.join(mine, reduce(and_, [F.col("grp") == F.col("_grp"), *left]), "left_semi")
     cuts = []
     for mine, other in (("l_", "r_"), ("r_", "l_")):
-        e, f = _ends(mine), _ends(other)
+        e, f = _edge(mine), _ends(other)
         on = F.array(*[F.when(S.gap2(f[f"x{k}"], f[f"y{k}"], e) <= eps * eps, S.along(f[f"x{k}"], f[f"y{k}"], e)) for k in (1, 2)])
         cuts.append(met.select("grp", F.col(f"{mine}owner").alias("a"), F.col(f"{other}owner").alias("b"), F.col(f"{mine}no").alias("no"),
-                               *[e[c].alias(c) for c in S.EDGE], F.array_compact(on).alias("t"), F.struct(*[f[c].alias(c) for c in S.EDGE]).alias("f")))
-    cuts = materialise(cuts[0].unionByName(cuts[1]).join(open_, ["grp", "a", "b"], "left_semi"), "cuts")
+                               *[e[c].alias(c) for c in ENDS], F.array_compact(on).alias("t"), F.struct(*[f[c].alias(c) for c in ENDS]).alias("f")))
+    cuts = materialise(cuts[0].unionByName(cuts[1]), "cuts")
     edge = ["grp", "a", "b", "no"]
-    places = cuts.groupBy(*edge, *S.EDGE).agg(F.flatten(F.collect_set("t")).alias("t"))
+    places = cuts.groupBy(*edge).agg(*[F.any_value(c).alias(c) for c in ENDS], F.flatten(F.collect_set("t")).alias("t"))
     at = F.array_sort(F.array_distinct(F.concat("t", F.array(F.lit(0.0), F.lit(1.0)))))
     middles = F.zip_with(F.slice(at, F.lit(1), F.size(at) - 1), F.slice(at, F.lit(2), F.size(at) - 1), lambda u, v: (u + v) / 2)
-    pieces = places.select(*edge, "x1", "y1", "dx", "dy", F.explode(middles).alias("t"))
-    pieces = pieces.select(*edge, *[(F.col(f"{c}1") + F.col("t") * F.col(f"d{c}")).alias(f"p{c}") for c in "xy"])
+    pieces = places.select(*edge, *ENDS, F.explode(middles).alias("t"))
+    pieces = pieces.select(*edge, *[(F.col(f"{c}1") + F.col("t") * _edge("")[f"d{c}"]).alias(f"p{c}") for c in "xy"])
     # A piece on the other boundary is not inside; what it lies on is among the edges that its edge meets.
     beside = pieces.join(cuts.select(*edge, "f"), edge)
-    off = beside.groupBy("grp", "a", "b", "px", "py").agg(F.min(S.gap2(F.col("px"), F.col("py"), {c: F.col(f"f.{c}") for c in S.EDGE})).alias("gap2"))
+    off = beside.groupBy("grp", "a", "b", "px", "py").agg(F.min(S.gap2(F.col("px"), F.col("py"), _edge("f."))).alias("gap2"))
     pieces = off.where(F.col("gap2") > eps * eps).select("grp", "a", "b", "px", "py")
-    probes = shapes.select(F.col("grp").alias("_grp"), F.col("owner").alias("_owner"), S.probes("shape").alias("probes"))
+    probes = shapes.join(wanted, ["grp", "owner"], "left_semi").select(F.col("grp").alias("_grp"), F.col("owner").alias("_owner"), S.probes("shape").alias("probes"))
     probes = lookup(open_, probes, of("a"), "inner").select("grp", "a", "b", F.explode("probes").alias("p"))
     points = pieces.unionByName(probes.select("grp", "a", "b", F.col("p.x").alias("px"), F.col("p.y").alias("py")))
 
     # As many strips as the root of the number of edges, in powers of two, across the way the edges spread most.
+    edges = edges.join(wanted, ["grp", "owner"], "left_semi")
     spread = edges.groupBy("grp", "owner").agg(
         (F.var_pop(F.col("x1") + F.col("x2")) > F.var_pop(F.col("y1") + F.col("y2"))).alias("turn"),
         *[f(F.least(f"{c}1", f"{c}2") if k == "0" else F.greatest(f"{c}1", f"{c}2")).alias(f"{c}{k}") for c in "xy" for k, f in (("0", F.min), ("9", F.max))],
@@ -148,13 +174,12 @@ def touching(shapes: DataFrame, eps: float = G.TOLERANCE) -> DataFrame:
         other = {n: n.translate(str.maketrans("xy", "yx")) for n in names}
         return df.withColumns({n: F.when(F.col("turn"), F.col(o)).otherwise(F.col(n)) for n, o in other.items()})
 
-    wanted = open_.select("grp", F.col("b").alias("owner")).distinct()
-    banded = turned(lookup(edges.join(wanted, ["grp", "owner"], "left_semi"), strips, of("owner"), "inner"), ["x1", "y1", "x2", "y2", "dx", "dy"])
+    banded = turned(lookup(edges, strips, of("owner"), "inner"), [*ENDS])
     rows = F.sequence(strip(F.least("y1", "y2") - eps), strip(F.greatest("y1", "y2") + eps))
-    banded = banded.select("grp", F.col("owner").alias("b"), F.explode(rows).alias("strip"), *S.EDGE)
+    banded = banded.select("grp", F.col("owner").alias("b"), F.explode(rows).alias("strip"), *ENDS)
     placed = turned(lookup(points, strips, of("b"), "inner"), ["px", "py"]).where(F.col("py").between(F.col("low"), F.col("high")))
     placed = placed.select("grp", "a", "b", "px", "py", strip(F.col("py")).alias("strip"))
-    e = _ends("")
+    e = _edge("")
     x = e["x1"] + e["dx"] * F.try_divide(F.col("py") - e["y1"], e["dy"])
     hit = ((e["y1"] > F.col("py")) != (e["y2"] > F.col("py"))) & (F.col("px") < x)
     inside = placed.join(banded, ["grp", "b", "strip"]).groupBy("grp", "a", "b", "px", "py", "strip").agg(
@@ -242,8 +267,8 @@ def with_km(df: DataFrame, a: str, b: str, name: str = "km") -> DataFrame:
 def with_touches(df: DataFrame, a: str, b: str, name: str = "touches", eps: float = G.TOLERANCE) -> DataFrame:
     """``df`` with whether the two shapes of a row touch; false where one is missing."""
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    sides = [rows.select(F.col("_row").cast("string").alias("grp"), F.lit(k).alias("owner"), named(c).alias("shape")) for k, c in (("a", a), ("b", b))]
+    sides = [rows.select(F.col("_row").alias("grp"), F.lit(k).alias("owner"), named(c).alias("shape")) for k, c in (("a", a), ("b", b))]
     found = touching(sides[0].unionByName(sides[1]).where("shape IS NOT NULL"), eps)
-    found = found.select(F.col("grp").cast("long").alias("_key"), F.lit(True).alias(name))
+    found = found.select(F.col("grp").alias("_key"), F.lit(True).alias(name))
     out = lookup(rows, found, {"_key": F.col("_row")}, "left")
     return out.select(*[named(c) for c in df.columns], F.coalesce(F.col(name), F.lit(False)).alias(name))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from citylake.operators import enrich, filters, geo, graph, incremental
+from citylake.operators import enrich, filters, geo, graph, incremental, shapes
 from citylake.operators.joins import lookup
 
 # AQE at a scale where a test table counts as large.
@@ -108,3 +108,20 @@ def test_translate_by_a_small_dictionary_shuffles_no_rows(spark):
     out = enrich.translate(df, ["k"], words)
     assert "hashpartitioning(_left_hash" not in plan_after(out)
     assert {tuple(r) for r in out.groupBy("k").count().collect()} == {("warm", 26_667), (" ", 13_333)}
+
+
+def test_met_edges_are_narrow(spark, monkeypatch):
+    """What is written for each pair of edges holds numbers of shapes and ends only."""
+    seen = {}
+    write = shapes.materialise
+    monkeypatch.setattr(shapes, "materialise", lambda df, label: seen.setdefault(label, write(df, label)))
+    ring = lambda x, y: F.array(*[F.struct((x + dx).cast("double").alias("x"), (y + dy).cast("double").alias("y")) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
+    k = F.col("id")
+    df = spark.range(400).select(k.cast("string").alias("COD_POSTAL"), ring(k % 20, F.floor(k / 20)).alias("ring"))
+    pairs = {tuple(r) for r in geo.touching_pairs(df).collect()}
+    near = lambda a, b: abs(a % 20 - b % 20) <= 1 and abs(a // 20 - b // 20) <= 1 and a != b
+    assert pairs == {(str(a), str(b)) for a in range(400) for b in range(400) if near(a, b)}
+    types = dict(seen["meeting"].dtypes)
+    assert types["l_owner"] == types["r_owner"] == "bigint"
+    assert sum(t == "double" for t in types.values()) == 8
+    assert seen["open"].isEmpty()
